@@ -8,10 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staymark.schemas import NTZ, PRICE
 
 
+# Schema of every table file read so far, so that a file's footer is read once.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class DerivedFeeds:
     """The three raw feeds over one directory of tables."""
 
@@ -20,7 +25,10 @@ class DerivedFeeds:
         self.directory = directory
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        path = f"{self.directory}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def bookings_raw(self) -> DataFrame:
         lines, orders = self.table("lineitem"), self.table("orders")
