@@ -2,28 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staymark.schemas import NTZ
 
-def nulls_last(columns: Iterable[str]) -> list[Column]:
-    return [F.asc_nulls_last(name) for name in columns]
 
+# Later than any time in the data: the distance to it sorts newest first.
+_END_OF_TIME = "9999-12-31 23:59:59"
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every key in ``order``.
 
-    ``order`` should be total over the columns that matter, or the winner is
-    arbitrary. The rank-1 filter stands directly on the window, so Spark also
-    applies it before the shuffle: a key that holds much of the data leaves
-    every map task as a single row.
+def _newest_first(column: str) -> Column:
+    return F.lit(_END_OF_TIME).cast(NTZ) - F.col(column)
+
+
+def first_per_key(
+    df: DataFrame, keys: Sequence[str], *, newest: str | None = None, ties: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key: the newest by a timestamp column, then the first by ``ties``.
+
+    ``ties`` sort ascending, columns not named break what ties remain, and NULLs come
+    last throughout, so the winner does not depend on how the data is laid out.
+
+    The winner is the least struct of the order columns, hence an aggregate. Unlike a
+    ranking window, an aggregate always has a partial step in front of its shuffle,
+    also where a join already brought equal keys together and had to be split: a key
+    that holds much of the data leaves every task as one row.
     """
-    ranked = df.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    others = [c for c in df.columns if c not in keys]
+    order = [*ties, *[c for c in others if c not in ties]]
+    fields = []
+    if newest is not None:
+        fields = [F.col(newest).isNull().alias("_undated"), _newest_first(newest).alias("_age")]
+    for name in order:
+        fields += [F.col(name).isNull().alias(f"_no_{name}"), F.col(name)]
+    return (
+        df.groupBy(*keys)
+        .agg(F.min(F.struct(*fields)).alias("_first"))
+        .select(
+            *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
+        )
     )
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def distinct_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

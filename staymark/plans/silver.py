@@ -19,7 +19,7 @@ from staymark.functions.columns import (
     resolve_status,
     status_rank,
 )
-from staymark.operators.rows import first_per_key, nulls_last
+from staymark.operators.rows import first_per_key
 from staymark.plans.staging import SNAPSHOT_TIES
 from staymark.schemas import SILVER_COLUMNS
 from staymark.statuses import DEFAULT_STATUSES, StatusModel
@@ -27,8 +27,9 @@ from staymark.statuses import DEFAULT_STATUSES, StatusModel
 
 def latest_snapshot(bookings: DataFrame) -> DataFrame:
     """The current snapshot of every booking."""
-    order = [F.desc_nulls_last("updated_at"), *nulls_last(SNAPSHOT_TIES)]
-    return first_per_key(bookings, ["booking_id"], order).select(
+    return first_per_key(
+        bookings, ["booking_id"], newest="updated_at", ties=SNAPSHOT_TIES
+    ).select(
         "booking_id",
         "user_id",
         "hotel_id",

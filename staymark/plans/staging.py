@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staymark.operators.rows import distinct_rows, first_per_key, nulls_last
+from staymark.operators.rows import distinct_rows, first_per_key
 from staymark.schemas import NTZ, PRICE
 
 # Total order among snapshots of one booking with the same update time.
@@ -37,7 +37,7 @@ def typed_hotels(raw: DataFrame) -> DataFrame:
 def stg_bookings(raw: DataFrame) -> DataFrame:
     """One row per (booking_id, updated_at)."""
     return first_per_key(
-        typed_bookings(raw), ["booking_id", "updated_at"], nulls_last(SNAPSHOT_TIES)
+        typed_bookings(raw), ["booking_id", "updated_at"], ties=SNAPSHOT_TIES
     )
 
 
@@ -48,4 +48,4 @@ def stg_booking_events(raw: DataFrame) -> DataFrame:
 
 def stg_hotels(raw: DataFrame) -> DataFrame:
     """One row per hotel_id."""
-    return first_per_key(typed_hotels(raw), ["hotel_id"], nulls_last(HOTEL_TIES))
+    return first_per_key(typed_hotels(raw), ["hotel_id"], ties=HOTEL_TIES)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staymark.operators.sizing import broadcast_if_fits
 from staymark.plans import gold as G
 from staymark.plans import incremental as I
 from staymark.plans import quality as Q
@@ -287,7 +288,8 @@ def streamed_silver(t: Layers) -> DataFrame:
 
 
 def hotels_missing(t: Layers) -> DataFrame:
-    located = t.stg_bookings.join(t.stg_hotels, "hotel_id", "left")
+    hotels = broadcast_if_fits(t.stg_hotels, bound=t.hotels_raw)
+    located = t.stg_bookings.join(hotels, "hotel_id", "left")
     return Q.not_null(located, "city").select("booking_id", "updated_at", "hotel_id", "city")
 
 
