@@ -18,29 +18,38 @@ def _newest_first(column: str) -> Column:
     return F.lit(_END_OF_TIME).cast(NTZ) - F.col(column)
 
 
+def rank_struct(order: Sequence[str], newest: str | None = None) -> Column:
+    """A row as a struct that is least for the row to keep.
+
+    Newest by a timestamp column first, then ascending by ``order``; NULLs last
+    throughout. The struct holds the values of ``order`` under their own names.
+    """
+    fields = []
+    if newest is not None:
+        fields = [F.col(newest).isNull().alias("_undated"), _newest_first(newest).alias("_age")]
+    for name in order:
+        fields += [F.col(name).isNull().alias(f"_no_{name}"), F.col(name)]
+    return F.struct(*fields)
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[str], *, newest: str | None = None, ties: Sequence[str] = ()
 ) -> DataFrame:
     """One row per key: the newest by a timestamp column, then the first by ``ties``.
 
-    ``ties`` sort ascending, columns not named break what ties remain, and NULLs come
-    last throughout, so the winner does not depend on how the data is laid out.
+    Columns not named break what ties remain, so the winner does not depend on how the
+    data is laid out. See ``rank_struct`` for the order.
 
-    The winner is the least struct of the order columns, hence an aggregate. Unlike a
-    ranking window, an aggregate always has a partial step in front of its shuffle,
-    also where a join already brought equal keys together and had to be split: a key
-    that holds much of the data leaves every task as one row.
+    The winner is the least struct of a group, hence an aggregate. Unlike a ranking
+    window, an aggregate always has a partial step in front of its shuffle, also where
+    a join already brought equal keys together and had to be split: a key that holds
+    much of the data leaves every task as one row.
     """
     others = [c for c in df.columns if c not in keys]
     order = [*ties, *[c for c in others if c not in ties]]
-    fields = []
-    if newest is not None:
-        fields = [F.col(newest).isNull().alias("_undated"), _newest_first(newest).alias("_age")]
-    for name in order:
-        fields += [F.col(name).isNull().alias(f"_no_{name}"), F.col(name)]
     return (
         df.groupBy(*keys)
-        .agg(F.min(F.struct(*fields)).alias("_first"))
+        .agg(F.min(rank_struct(order, newest)).alias("_first"))
         .select(
             *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
         )

@@ -1,6 +1,6 @@
 """Silver: one reconciled row per booking, from CDC snapshots and the event log.
 
-Both inputs are cut to one row per booking, partly before their only shuffle, and
+Both inputs are cut to one row per booking, mostly before their only shuffle, and
 then joined on the partitioning they already have. The inputs may be the staged
 tables or merely typed ones: staging keeps the first row of each duplicate group
 in the same total order the latest snapshot is chosen by, and duplicate events
@@ -9,7 +9,7 @@ change no maximum, so both give the same result and the typed ones save a shuffl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staymark.functions.columns import (
@@ -19,54 +19,57 @@ from staymark.functions.columns import (
     resolve_status,
     status_rank,
 )
-from staymark.operators.rows import first_per_key
+from staymark.operators.rows import first_per_key, rank_struct
 from staymark.plans.staging import SNAPSHOT_TIES
 from staymark.schemas import SILVER_COLUMNS
 from staymark.statuses import DEFAULT_STATUSES, StatusModel
 
 
+# Feed columns that silver names after the source they come from.
+_SNAPSHOT_NAMES = {"status": "snapshot_status", "updated_at": "snapshot_updated_at"}
+
+
 def latest_snapshot(bookings: DataFrame) -> DataFrame:
     """The current snapshot of every booking."""
-    return first_per_key(
-        bookings, ["booking_id"], newest="updated_at", ties=SNAPSHOT_TIES
-    ).select(
-        "booking_id",
-        "user_id",
-        "hotel_id",
-        F.col("status").alias("snapshot_status"),
-        "price",
-        "created_at",
-        F.col("updated_at").alias("snapshot_updated_at"),
+    return (
+        first_per_key(bookings, ["booking_id"], newest="updated_at", ties=SNAPSHOT_TIES)
+        .select("booking_id", *SNAPSHOT_TIES, "updated_at")
+        .withColumnsRenamed(_SNAPSHOT_NAMES)
     )
 
 
-def event_state(events: DataFrame, model: StatusModel = DEFAULT_STATUSES) -> DataFrame:
-    """Latest event and last time of every event type per booking, in one pass.
+def _event_rank(model: StatusModel) -> Column:
+    """An event as a struct that is greatest for the latest one; a NULL time sorts lowest."""
+    return F.struct(
+        F.col("event_ts").alias("ts"),
+        status_rank(F.col("event_type"), model.domain).alias("strength"),
+        F.col("event_type").alias("type"),
+    )
 
-    The latest event is the greatest (time, strength, type) triple; a NULL time
-    sorts lowest, so it wins only where a booking has nothing else.
-    """
-    event_type, event_ts = F.col("event_type"), F.col("event_ts")
-    newest = F.max(
-        F.struct(
-            event_ts.alias("ts"),
-            status_rank(event_type, model.domain).alias("strength"),
-            event_type.alias("type"),
+
+def _last_seen(model: StatusModel) -> list[Column]:
+    return [
+        F.max(F.when(F.col("event_type") == status, F.col("event_ts"))).alias(
+            f"event_{status}_at"
         )
-    )
-    last_seen = [
-        F.max(F.when(event_type == status, event_ts)).alias(f"event_{status}_at")
         for status in model.domain
     ]
+
+
+def _event_columns(model: StatusModel) -> list[Column | str]:
+    return [
+        F.col("_newest.type").alias("event_status"),
+        F.col("_newest.ts").alias("event_updated_at"),
+        *[f"event_{status}_at" for status in model.domain],
+    ]
+
+
+def event_state(events: DataFrame, model: StatusModel = DEFAULT_STATUSES) -> DataFrame:
+    """Latest event and last time of every event type per booking, in one pass."""
     return (
         events.groupBy("booking_id")
-        .agg(newest.alias("_newest"), *last_seen)
-        .select(
-            "booking_id",
-            F.col("_newest.type").alias("event_status"),
-            F.col("_newest.ts").alias("event_updated_at"),
-            *[f"event_{status}_at" for status in model.domain],
-        )
+        .agg(F.max(_event_rank(model)).alias("_newest"), *_last_seen(model))
+        .select("booking_id", *_event_columns(model))
     )
 
 
@@ -77,6 +80,36 @@ def snapshot_with_events(
     return latest_snapshot(bookings).join(event_state(events, model), "booking_id", "left")
 
 
+def stacked_state(
+    bookings: DataFrame, events: DataFrame, model: StatusModel = DEFAULT_STATUSES
+) -> DataFrame:
+    """``snapshot_with_events`` as one aggregate over both feeds stacked.
+
+    Works on streams, where it keeps one row of state per booking and needs neither a
+    window nor a join. Events without a key match no snapshot and are left out.
+    """
+    stacked = bookings.withColumn("_snapshot", F.lit(True)).unionByName(
+        events.where(F.col("booking_id").isNotNull()).withColumn("_event", F.lit(True)),
+        allowMissingColumns=True,
+    )
+    snapshot_rank = rank_struct([*SNAPSHOT_TIES, "updated_at"], "updated_at")
+    return (
+        stacked.groupBy("booking_id")
+        .agg(
+            F.min(F.when(F.col("_snapshot"), snapshot_rank)).alias("_first"),
+            F.max(F.when(F.col("_event"), _event_rank(model))).alias("_newest"),
+            *_last_seen(model),
+        )
+        .where(F.col("_first").isNotNull())
+        .select(
+            "booking_id",
+            *[F.col(f"_first.{c}").alias(c) for c in (*SNAPSHOT_TIES, "updated_at")],
+            *_event_columns(model),
+        )
+        .withColumnsRenamed(_SNAPSHOT_NAMES)
+    )
+
+
 def terminal_claims(
     bookings: DataFrame, events: DataFrame, model: StatusModel = DEFAULT_STATUSES
 ) -> DataFrame:

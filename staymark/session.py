@@ -9,6 +9,12 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     # Split a hot join key even if the next aggregate then needs a shuffle of its own.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # One row of stream state per booking outgrows executor memory: keep it on disk,
+    # and put only its changes into the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -1,43 +1,40 @@
 """Silver kept current from streams of snapshots and events.
 
-Picking the latest row per booking has no bounded state on a stream, so each
-micro-batch is handled as a batch: its rows are added to the staged feeds, and the
-bookings they name are reconciled anew from all staged rows. Order and time of
-arrival therefore do not matter, and the table ends up equal to a batch build.
+Spark keeps the latest snapshot and the event state of every booking as aggregation
+state, so a micro-batch costs its own rows, not the history. Each batch then yields
+the bookings it changed, whole, and these take the place of their rows in the table.
+Order and time of arrival do not matter, a repeated batch changes nothing, and the
+table equals a batch build over all rows received so far.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from staymark.operators.rows import distinct_rows, rows_with
-from staymark.operators.sizing import BROADCAST_BYTES, broadcast_if_fits
-from staymark.plans.silver import silver_bookings
+from staymark.operators.sizing import BROADCAST_BYTES
+from staymark.plans.silver import reconcile_state, silver_columns, stacked_state
 from staymark.sinks.tables import upsert_silver, write_table
 from staymark.statuses import DEFAULT_STATUSES, StatusModel
 
 DAY = "created_date"
 
 
-def _add_to_feed(rows: DataFrame, feed: str, batch_id: int) -> DataFrame:
-    """Stage the rows of one micro-batch; a repeated batch replaces its own files."""
-    path = f"{feed}/batch={batch_id}"
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def _table_schema(silver_schema: T.StructType) -> T.StructType:
+    return T.StructType([*silver_schema.fields, T.StructField(DAY, T.DateType())])
 
 
-def _history(spark: SparkSession, feed: str, schema: T.StructType, ids: DataFrame) -> DataFrame:
-    return rows_with(spark.read.schema(schema).parquet(feed), ids, "booking_id")
+def create_empty_silver(spark: SparkSession, path: str, silver_schema: T.StructType) -> None:
+    """An empty silver table for the stream to fill."""
+    nothing = spark.createDataFrame([], _table_schema(silver_schema))
+    write_table(nothing, path, partition_by=[DAY])
 
 
 def start_silver_stream(
     bookings: DataFrame,
     events: DataFrame,
     silver_path: str,
-    staging: str,
     checkpoint: str,
     silver_schema: T.StructType,
     *,
@@ -46,56 +43,27 @@ def start_silver_stream(
     broadcast_bytes: int = BROADCAST_BYTES,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start the query that upserts both streams into the silver table.
+    """Start the query that brings two streams of typed feeds into the silver table.
 
-    ``bookings`` and ``events`` are streams with the columns of the typed feeds;
-    ``staging``, ``silver_path`` and ``checkpoint`` are shared folders.
+    ``silver_path`` and ``checkpoint`` are shared folders. The number of state
+    partitions is fixed by spark.sql.shuffle.partitions at the first start.
     """
-    spark = bookings.sparkSession
-    table_schema = T.StructType([*silver_schema.fields, T.StructField(DAY, T.DateType())])
-    feeds = {
-        "booking": (f"{staging}/bookings", bookings.schema),
-        "event": (f"{staging}/events", events.schema),
-    }
-
-    def absorb(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        fresh = [
-            _add_to_feed(
-                batch.where(F.col(kind).isNotNull()).select(f"{kind}.*"), feed, batch_id
-            ).select("booking_id")
-            for kind, (feed, _) in feeds.items()
-        ]
-        ids = broadcast_if_fits(
-            distinct_rows(fresh[0].unionByName(fresh[1]), ["booking_id"]), broadcast_bytes
-        )
-        changed = silver_bookings(
-            *[_history(session, feed, schema, ids) for feed, schema in feeds.values()],
-            model,
-            as_of=as_of,
-        )
+    def absorb(changed: DataFrame, batch_id: int) -> None:
         upsert_silver(
-            session,
+            changed.sparkSession,
             silver_path,
-            changed,
-            table_schema,
+            reconcile_state(changed, model, as_of=as_of).select(*silver_columns(model)),
+            _table_schema(silver_schema),
             day=DAY,
             replace=True,
             broadcast_bytes=broadcast_bytes,
         )
 
-    both = bookings.select(F.struct("*").alias("booking")).unionByName(
-        events.select(F.struct("*").alias("event")), allowMissingColumns=True
-    )
     return (
-        both.writeStream.foreachBatch(absorb)
+        stacked_state(bookings, events, model)
+        .writeStream.outputMode("update")
+        .foreachBatch(absorb)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
     )
-
-
-def create_empty_silver(spark: SparkSession, path: str, silver_schema: T.StructType) -> None:
-    """An empty silver table for the stream to fill."""
-    schema = T.StructType([*silver_schema.fields, T.StructField(DAY, T.DateType())])
-    write_table(spark.createDataFrame([], schema), path, partition_by=[DAY])

@@ -69,6 +69,11 @@ class Layers:
     def silver(self) -> DataFrame:
         return S.silver_bookings(self.bookings, self.events, as_of=AS_OF)
 
+    @cached_property
+    def stored_silver(self) -> DataFrame:
+        """Silver as a written table, for queries that read it more than once."""
+        return written(self.silver, "silver")
+
     @cached_property
     def early_silver(self) -> DataFrame:
         """Silver as of the mark."""
@@ -83,19 +88,6 @@ class Layers:
     def silver_ever(self) -> DataFrame:
         return S.silver_bookings(self.bookings, self.events, as_of=AS_OF, terminal="ever")
 
-    @cached_property
-    def unsettled(self) -> DataFrame:
-        return self.silver.withColumn(
-            "booking_status", F.when(~F.col("_had_conflict"), F.col("booking_status"))
-        )
-
-    @cached_property
-    def refunded(self) -> DataFrame:
-        price = F.col("price")
-        return self.silver.withColumn(
-            "price", F.when(F.col("booking_status") == "cancelled", -price).otherwise(price)
-        )
-
     def delta(self, **options) -> DataFrame:
         return I.silver_delta(self.bookings, self.events, MARK, as_of=AS_OF, **options)
 
@@ -108,11 +100,30 @@ class Layers:
     def gold(self) -> DataFrame:
         return self.gold_of(self.silver)
 
+    @cached_property
+    def stored_gold(self) -> DataFrame:
+        return self.gold_of(self.stored_silver)
+
     @cached_property
     def early_gold(self) -> DataFrame:
         return self.gold_of(self.early_silver)
 
 
+def unsettled(silver: DataFrame) -> DataFrame:
+    """Bookings whose sources disagree, stripped of their status."""
+    return silver.withColumn(
+        "booking_status", F.when(~F.col("_had_conflict"), F.col("booking_status"))
+    )
+
+
+def refunded(silver: DataFrame) -> DataFrame:
+    """Prices of cancelled bookings counted negative."""
+    price = F.col("price")
+    return silver.withColumn(
+        "price", F.when(F.col("booking_status") == "cancelled", -price).otherwise(price)
+    )
+
+
 def _comparable(df: DataFrame) -> DataFrame:
     """Without load times, and decimals as doubles so that engines agree on the type."""
     columns = [f for f in df.schema.fields if f.name not in ("_loaded_at", "_computed_at")]
@@ -165,7 +176,7 @@ def gold_incremental(t: Layers) -> DataFrame:
     before = written(t.early_silver, "silver")
     after = written(I.merge_silver(before, delta), "silver")
     return I.refresh_gold(
-        t.early_gold,
+        t.gold_of(before),
         after,
         t.stg_hotels,
         I.affected_days(before, delta),
@@ -242,7 +253,7 @@ def compacted(t: Layers) -> DataFrame:
 def evolved(t: Layers) -> DataFrame:
     mark = F.lit(MARK).cast("timestamp_ntz")
     old, new = new_folder(t.spark, "silver-v1"), new_folder(t.spark, "silver-v2")
-    silver = t.silver
+    silver = t.stored_silver
     tables.write_table(
         silver.where(F.col("last_updated_at") <= mark).drop("_raw_event_status"), old
     )
@@ -274,7 +285,6 @@ def streamed_silver(t: Layers) -> DataFrame:
         t.spark.readStream.schema(t.bookings.schema).parquet(f"{feeds}/bookings"),
         t.spark.readStream.schema(t.events.schema).parquet(f"{feeds}/events"),
         f"{state}/silver",
-        f"{state}/staging",
         f"{state}/checkpoint",
         t.silver.schema,
         as_of=AS_OF,
@@ -306,7 +316,7 @@ def rate_as_percent(t: Layers) -> DataFrame:
 
 
 def price_after_fee(t: Layers) -> DataFrame:
-    return t.unsettled.withColumn("price", F.col("price") - 20000)
+    return unsettled(t.silver).withColumn("price", F.col("price") - 20000)
 
 
 def all_tables(t: Layers) -> dict[str, DataFrame]:
@@ -317,8 +327,8 @@ def all_tables(t: Layers) -> dict[str, DataFrame]:
         "stg_bookings": t.stg_bookings,
         "stg_booking_events": t.stg_events,
         "stg_hotels": t.stg_hotels,
-        "silver_bookings": t.silver,
-        "gold_daily_city_kpis": t.gold,
+        "silver_bookings": t.stored_silver,
+        "gold_daily_city_kpis": t.stored_gold,
     }
 
 
@@ -413,17 +423,19 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_one_row_per_key": lambda t: Q.one_row_per_key(t.stg_bookings),
     "dq_valid_status": lambda t: Q.valid_status(t.silver, UNCANCELLED),
     "dq_no_future_dates": lambda t: Q.no_future_dates(t.silver, TODAY),
-    "dq_counts_add_up": lambda t: Q.counts_add_up(t.gold_of(t.unsettled)),
+    "dq_counts_add_up": lambda t: Q.counts_add_up(t.gold_of(unsettled(t.silver))),
     "dq_rate_bounds": lambda t: Q.rate_in_bounds(rate_as_percent(t)),
-    "dq_non_negative": lambda t: Q.money_not_negative(t.gold_of(t.refunded)),
+    "dq_non_negative": lambda t: Q.money_not_negative(t.gold_of(refunded(t.silver))),
     "dq_silver_gold_consistency": lambda t: Q.silver_gold_consistency(t.silver, t.early_gold),
-    "dq_revenue_consistency": lambda t: Q.revenue_consistency(t.silver, t.gold),
+    "dq_revenue_consistency": lambda t: Q.revenue_consistency(t.stored_silver, t.stored_gold),
     "dq_booking_sanity": lambda t: Q.booking_sanity(price_after_fee(t)),
     "dq_status_transitions": lambda t: Q.status_transitions(t.silver_ever),
-    "quality_gate": lambda t: Q.quality_gate(t.silver, t.gold),
+    "quality_gate": lambda t: Q.quality_gate(t.stored_silver, t.stored_gold),
     "quality_gate_stale_gold": lambda t: Q.quality_gate(t.silver, t.early_gold),
     "quality_gate_verdict": lambda t: Q.gate_verdict(Q.quality_gate(t.silver, t.early_gold)),
-    "validation_messages": lambda t: Q.validation_messages(t.silver, t.gold_of(t.unsettled)),
+    "validation_messages": lambda t: Q.validation_messages(
+        t.stored_silver, t.gold_of(unsettled(t.stored_silver))
+    ),
     "dq_declared_tests": lambda t: Q.declared_tests(all_tables(t)),
     # reports and comparisons
     "report_booking_states": lambda t: R.booking_states(t.silver),

@@ -241,6 +241,8 @@ def test_against_brute_force(frame, seed):
     for built in (typed, staged):
         got = {r[0]: tuple(r)[1:12] for r in built.collect()}
         assert got == want
+    joined, stacked = silver.snapshot_with_events(*feeds), silver.stacked_state(*feeds)
+    assert joined.dtypes == stacked.dtypes and rows(joined) == rows(stacked)
 
 
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])

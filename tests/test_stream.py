@@ -31,7 +31,6 @@ def test_any_arrival_order(spark, frame, tmp_path, broadcast_bytes):
             spark.readStream.schema(schemas.BOOKINGS_RAW).parquet(str(tmp_path / "in-bookings")),
             spark.readStream.schema(schemas.BOOKING_EVENTS_RAW).parquet(str(tmp_path / "in-events")),
             path,
-            str(tmp_path / "staging"),
             str(tmp_path / "checkpoint"),
             schemas.SILVER_BOOKINGS,
             as_of=AS_OF,
