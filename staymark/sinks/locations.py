@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _this_machine() -> str:
+    return tempfile.mkdtemp(prefix="staymark-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as named in spark.checkpoint.dir.
 
@@ -17,8 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="staymark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _this_machine()
     return folder.rstrip("/")
 
 
@@ -30,10 +37,20 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe to read again
     after losing executors."""
-    spark = df.sparkSession
-    path = new_folder(spark, label)
+    return _write_and_read(df, new_folder(df.sparkSession, label))
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like ``written``, for the length of a block. A failed block leaves the table."""
+    path = new_folder(df.sparkSession, label)
+    yield _write_and_read(df, path)
+    delete_folder(df.sparkSession, path)
 
 
 def delete_folder(spark: SparkSession, path: str) -> bool:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from staymark.operators.rows import rows_without
 from staymark.operators.sizing import BROADCAST_BYTES, broadcast_if_fits
 from staymark.plans.incremental import affected_days, merge_silver
-from staymark.sinks.locations import delete_folder, new_folder, written
+from staymark.sinks.locations import delete_folder, staged
 
 # Files this large read well and are few.
 FILE_BYTES = 192 * 1024 * 1024
@@ -49,16 +50,43 @@ def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str])
     return df
 
 
+@contextmanager
+def _file_size(spark: SparkSession, file_bytes: int) -> Iterator[None]:
+    """Have the adaptive planner aim at this much data per written file."""
+    option = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(option)
+    spark.conf.set(option, str(file_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
+def _write(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    sort_by: Sequence[str],
+    file_bytes: int,
+    overwrite: str,
+) -> None:
+    writer = laid_out(df, partition_by, sort_by).write.mode("overwrite")
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", overwrite).partitionBy(*partition_by)
+    with _file_size(df.sparkSession, file_bytes):
+        writer.parquet(path)
+
+
 def write_table(
     df: DataFrame,
     path: str,
     *,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Full refresh: replace the table at ``path``."""
-    writer = laid_out(df, partition_by, sort_by).write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    _write(df, path, partition_by, sort_by, file_bytes, "static")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -103,13 +131,18 @@ def publish(
     return path
 
 
-def current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """The last committed version below ``root``."""
+def current_path(spark: SparkSession, root: str) -> str:
+    """Where the last committed version below ``root`` is."""
     commits = spark.read.schema(_COMMIT).json(f"{root}/commits")
     path = commits.agg(F.max_by("path", "committed_at").alias("path")).first()["path"]
     if path is None:
         raise FileNotFoundError(f"no committed version below {root}")
-    return read_table(spark, path, schema)
+    return path
+
+
+def current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """The last committed version below ``root``."""
+    return read_table(spark, current_path(spark, root), schema)
 
 
 # --- partition overwrite --------------------------------------------------------------
@@ -139,6 +172,7 @@ def overwrite_days(
     *,
     sort_by: Sequence[str] = (),
     answers_for: DataFrame | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Replace only the days that occur in ``df``; other days stay untouched.
 
@@ -150,13 +184,7 @@ def overwrite_days(
     if answers_for is not None:
         gone = rows_without(answers_for.toDF("_day").distinct(), df.select(day).distinct(), "_day")
         emptied = [row["_day"] for row in gone.toLocalIterator()]
-    (
-        laid_out(df, [day], sort_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(path)
-    )
+    _write(df, path, [day], sort_by, file_bytes, "dynamic")
     for gone_day in emptied:
         delete_folder(df.sparkSession, partition_folder(path, day, gone_day))
 
@@ -179,20 +207,20 @@ def upsert_silver(
     shared folder first and swapped in from there, so a run that dies can be
     repeated: the same delta a second time changes nothing.
     """
-    delta = written(delta, "delta")
-    target = read_table(spark, path, schema)
-    touched = listed_days(affected_days(target, delta, broadcast_bytes=broadcast_bytes))
-    old_days = target if touched is None else target.where(on_days(day, touched))
-    old = old_days.drop(day)
-    if replace:
-        ids = broadcast_if_fits(delta.select("booking_id"), broadcast_bytes)
-        new = rows_without(old, ids, "booking_id").unionByName(delta)
-    else:
-        new = merge_silver(old, delta, broadcast_bytes=broadcast_bytes)
-    staged = written(with_day(new, "created_at", day), "merged")
-    overwrite_days(
-        staged, path, day, sort_by=["booking_id"], answers_for=old_days.select(day)
-    )
+    with staged(delta, "delta") as delta:
+        target = read_table(spark, path, schema)
+        touched = listed_days(affected_days(target, delta, broadcast_bytes=broadcast_bytes))
+        old_days = target if touched is None else target.where(on_days(day, touched))
+        old = old_days.drop(day)
+        if replace:
+            ids = broadcast_if_fits(delta.select("booking_id"), broadcast_bytes)
+            new = rows_without(old, ids, "booking_id").unionByName(delta)
+        else:
+            new = merge_silver(old, delta, broadcast_bytes=broadcast_bytes)
+        with staged(with_day(new, "created_at", day), "merged") as merged:
+            overwrite_days(
+                merged, path, day, sort_by=["booking_id"], answers_for=old_days.select(day)
+            )
 
 
 # --- maintenance ----------------------------------------------------------------------

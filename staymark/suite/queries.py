@@ -21,6 +21,7 @@ from staymark.plans import quality as Q
 from staymark.plans import reports as R
 from staymark.plans import silver as S
 from staymark.plans import staging
+from staymark.plans.refresh import BookingTables
 from staymark.session import prepare
 from staymark.sinks import tables
 from staymark.sinks.locations import new_folder, written
@@ -160,8 +161,9 @@ def _read_silver(t: Layers, path: str) -> DataFrame:
 
 
 def merge_upsert(t: Layers, **options) -> DataFrame:
-    delta = written(t.delta(), "delta")
-    return I.merge_silver(t.early_silver, delta, **options)
+    target, delta = written(t.early_silver, "silver"), written(t.delta(), "delta")
+    # The delta is grouped by booking, so its key need not be checked.
+    return I.merge_silver(target, delta, check_source=False, **options)
 
 
 def upsert_table(t: Layers) -> DataFrame:
@@ -185,6 +187,25 @@ def gold_incremental(t: Layers) -> DataFrame:
     )
 
 
+def booking_tables(t: Layers) -> BookingTables:
+    return BookingTables(
+        t.spark,
+        new_folder(t.spark, "tables"),
+        t.feeds.bookings_raw(),
+        t.feeds.booking_events_raw(),
+        t.hotels_raw,
+        as_of=AS_OF,
+    )
+
+
+def refreshed_tables(t: Layers) -> BookingTables:
+    """Both tables built up to the mark, then refreshed with what came after."""
+    stored = booking_tables(t)
+    stored.full_refresh(until=MARK)
+    stored.incremental_refresh(MARK)
+    return stored
+
+
 # --- sinks ----------------------------------------------------------------------------
 
 
@@ -216,9 +237,8 @@ def partition_overwrite(t: Layers) -> DataFrame:
     path = _early_gold_table(t)
     days = written(t.delta().select(F.to_date("created_at").alias("day")).distinct(), "days")
     touched = tables.on_days("booking_date", tables.listed_days(days))
-    tables.overwrite_days(
-        t.gold.where(touched), path, "booking_date", sort_by=["city"], answers_for=days
-    )
+    renewed = written(t.gold.where(touched), "kpis")
+    tables.overwrite_days(renewed, path, "booking_date", sort_by=["city"], answers_for=days)
     return tables.read_table(t.spark, path, t.gold.schema)
 
 
@@ -232,7 +252,7 @@ def backfill_range(t: Layers) -> DataFrame:
     created = t.silver.withColumn("_day", F.to_date("created_at"))
     stored = tables.read_table(t.spark, path, t.gold.schema)
     tables.overwrite_days(
-        t.gold_of(created.where(in_range("_day"))),
+        written(t.gold_of(created.where(in_range("_day"))), "kpis"),
         path,
         "booking_date",
         sort_by=["city"],
@@ -407,6 +427,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_merge_upsert_large": lambda t: merge_upsert(t, broadcast_bytes=NO_BROADCAST),
     "silver_upsert_table": upsert_table,
     "gold_incremental_refresh": gold_incremental,
+    "gold_incremental_refresh_tables": lambda t: refreshed_tables(t).gold(),
     # sinks
     "write_full_refresh_roundtrip": full_refresh_roundtrip,
     "write_idempotent_rerun": idempotent_rerun,

@@ -174,13 +174,7 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
         F.sha2(F.col("id").cast("string"), 256).alias("text"),
         F.when(F.col("id") % 10 == 0, F.lit("2025-01-02")).otherwise("2025-01-01").cast("date").alias("day"),
     )
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    old = spark.conf.get(size)
-    spark.conf.set(size, "1m")
-    try:
-        tables.write_table(data, path, partition_by=["day"], sort_by=["text"])
-    finally:
-        spark.conf.set(size, old)
+    tables.write_table(data, path, partition_by=["day"], sort_by=["text"], file_bytes=1 << 20)
     files = {r["day"]: r["files"] for r in tables.file_sizes(spark, path, "day").collect()}
     assert files[dt.date(2025, 1, 1)] > 3
     assert spark.read.parquet(path).count() == 200_000
@@ -212,6 +206,13 @@ def test_shared_folder_comes_from_the_session(spark):
     assert locations.new_folder(spark, "x") != locations.new_folder(spark, "x")
 
 
+def test_staged_table_goes_away(spark, frame):
+    folder = Path(locations.shared_folder(spark)) / "staymark"
+    with locations.staged(frame("hotels", [("h", "c", 1)]), "gone") as copy:
+        assert copy.count() == 1 and list(folder.glob("gone-*"))
+    assert not list(folder.glob("gone-*"))
+
+
 def test_written_keeps_types(spark, frame):
     data = frame("silver", [silver_row("a", "created", "10:00", created=None)])
     copy = locations.written(data, "copy")
