@@ -1,8 +1,8 @@
 """The whole flow on stored tables: full refresh and incremental refresh.
 
-Silver and gold live below one root as published versions (see ``sinks.tables``). A
-full refresh publishes new versions; an incremental one rewrites, in the current
-versions, only the days it touches.
+All tables live below one root as published versions (see ``sinks.tables``). A full
+refresh publishes new versions; an incremental one rewrites, in the current versions,
+only the days it touches. Silver and gold do not need the stored staging tables.
 """
 
 from __future__ import annotations
@@ -22,10 +22,15 @@ from staymark.statuses import DEFAULT_STATUSES, StatusModel
 
 SILVER_DAY = "created_date"
 GOLD_DAY = "booking_date"
+# Stored staging table -> (timestamp, day it is partitioned by); hotels are small.
+_STAGING_DAYS = {
+    "stg_bookings": ("created_at", "created_date"),
+    "stg_booking_events": ("event_ts", "event_date"),
+}
 
 
-def _with_day(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(SILVER_DAY, T.DateType())])
+def _with_day(schema: T.StructType, day: str = SILVER_DAY) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(day, T.DateType())])
 
 
 class BookingTables:
@@ -42,11 +47,16 @@ class BookingTables:
         *,
         as_of: str | None = None,
     ):
-        self.spark, self.model, self.as_of = spark, model, as_of
+        self.spark, self.root, self.model, self.as_of = spark, root, model, as_of
         self.silver_root, self.gold_root = f"{root}/silver_bookings", f"{root}/gold_daily_city_kpis"
         self.bookings = staging.typed_bookings(bookings_raw)
         self.events = staging.typed_events(events_raw)
         self.hotels_raw = hotels_raw
+        self._staging = {
+            "stg_bookings": staging.stg_bookings(bookings_raw),
+            "stg_booking_events": staging.stg_booking_events(events_raw),
+            "stg_hotels": staging.stg_hotels(hotels_raw),
+        }
         silver = silver_bookings(self.bookings, self.events, model, as_of=as_of)
         self._silver_schema = silver.schema
         # No broadcast, so nothing is measured: only the schema is wanted.
@@ -61,6 +71,20 @@ class BookingTables:
         gold = tables.current(self.spark, self.gold_root, self._gold_schema)
         return gold.select(*self._gold_schema.names)  # a partition column reads last
 
+    def staged(self, name: str) -> DataFrame:
+        """The current stored staging table of that name."""
+        schema = self._staging[name].schema
+        if name in _STAGING_DAYS:
+            schema = _with_day(schema, _STAGING_DAYS[name][1])
+        return tables.current(self.spark, f"{self.root}/{name}", schema)
+
+    def create_views(self) -> None:
+        """Temporary views for SQL: lazy staging, and the current silver and gold."""
+        for name, df in self._staging.items():
+            df.createOrReplaceTempView(name)
+        self.silver().createOrReplaceTempView("silver_bookings")
+        self.gold().createOrReplaceTempView("gold_daily_city_kpis")
+
     def gate(self) -> DataFrame:
         """The quality gate over the current tables."""
         return quality_gate(self.silver(), self.gold(), self.model)
@@ -68,13 +92,27 @@ class BookingTables:
     def _kpis(self, silver: DataFrame, **options) -> DataFrame:
         return daily_city_kpis(
             silver,
-            staging.stg_hotels(self.hotels_raw),
+            self._staging["stg_hotels"],
             self.model,
             as_of=self.as_of,
             hotels_bound=self.hotels_raw,
             **options,
         )
 
+    def publish_staging(self) -> None:
+        """Store the deduplicated feeds by day, sorted by booking, and hotels as they are."""
+        for name, df in self._staging.items():
+            timestamp, day = _STAGING_DAYS.get(name, (None, None))
+            if day is None:
+                tables.publish(df, f"{self.root}/{name}", sort_by=["hotel_id"])
+                continue
+            tables.publish(
+                tables.with_day(df, timestamp, day),
+                f"{self.root}/{name}",
+                partition_by=[day],
+                sort_by=["booking_id"],
+            )
+
     def full_refresh(self, until: str | None = None) -> None:
         """Rebuild both tables from all rows, or from those up to a time."""
         bookings, events = self.bookings, self.events

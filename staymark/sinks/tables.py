@@ -178,7 +178,7 @@ def overwrite_days(
 
     ``answers_for`` is a one-column frame of the days this run recomputed. Those of
     them without a row in ``df`` are removed: an overwrite by itself leaves their old
-    rows in place.
+    rows in place. ``df`` is then read twice, so pass a written table.
     """
     emptied = []
     if answers_for is not None:

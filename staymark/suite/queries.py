@@ -206,6 +206,12 @@ def refreshed_tables(t: Layers) -> BookingTables:
     return stored
 
 
+def stored_staging(t: Layers) -> DataFrame:
+    stored = booking_tables(t)
+    stored.publish_staging()
+    return R.input_volumes({name: stored.staged(name) for name in staged_tables(t)})
+
+
 # --- sinks ----------------------------------------------------------------------------
 
 
@@ -429,6 +435,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "gold_incremental_refresh": gold_incremental,
     "gold_incremental_refresh_tables": lambda t: refreshed_tables(t).gold(),
     # sinks
+    "write_staging_tables": stored_staging,
     "write_full_refresh_roundtrip": full_refresh_roundtrip,
     "write_idempotent_rerun": idempotent_rerun,
     "silver_partitioned_scan": partitioned_scan,

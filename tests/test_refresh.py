@@ -64,6 +64,27 @@ def test_incremental_refresh(stored, frame):
     assert quality.gate_verdict(stored.gate()).first()["approved"]
 
 
+def test_staging_tables(stored, frame):
+    stored.publish_staging()
+    assert rows(stored.staged("stg_bookings").drop("created_date")) == set(FIRST + LATER)
+    assert rows(stored.staged("stg_booking_events"), "booking_id", "event_date") == {
+        ("b", dt.date(2025, 1, 2)),
+        ("c", dt.date(2025, 1, 5)),
+    }
+    assert rows(stored.staged("stg_hotels")) == set(HOTELS)
+
+
+def test_views(spark, stored):
+    stored.full_refresh()
+    stored.create_views()
+    found = spark.sql(
+        "SELECT s.booking_id FROM silver_bookings s JOIN stg_hotels h USING (hotel_id)"
+        " WHERE h.city = 'Shiraz'"
+    )
+    assert rows(found) == {("b",)}
+    assert spark.sql("SELECT sum(total_bookings) AS n FROM gold_daily_city_kpis").first()["n"] == 3
+
+
 def test_backfill(stored):
     stored.full_refresh()
     want = rows(stored.gold())
