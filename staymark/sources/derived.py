@@ -1,7 +1,8 @@
 """Booking feeds derived from the order tables.
 
 Line items serve as snapshots of an order, click events as the booking event log,
-suppliers as hotels. One supplier in ten is left out, so that unknown hotels occur.
+suppliers as hotels. Suppliers with a balance below 1,000 are not listed as hotels, so
+that unknown hotels occur.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ class DerivedFeeds:
     def hotels_raw(self) -> DataFrame:
         return (
             self.table("supplier")
-            .where(F.col("s_suppkey") % 10 != 9)
+            .where(F.col("s_acctbal") >= 1000)
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("s_suppkey").alias("hotel_id"),
