@@ -248,8 +248,9 @@ def compact(
 ) -> list[dt.date | None]:
     """Rewrite partitions that have more files than their bytes need; returns them.
 
-    Rows do not change. A partition gets as many files as it has ``file_bytes``, its
-    rows spread over them by hash, and partitions already in shape are not read.
+    Rows do not change. A partition gets as many files as it has ``file_bytes``. Its rows
+    are dealt out to them by position, so copies of one row spread too, and a task that is
+    run again deals the same way. Partitions already in shape are not read.
     """
     wanted = F.ceil(F.col("bytes") / F.lit(file_bytes)).cast("int")
     crowded = (
@@ -267,10 +268,10 @@ def compact(
         crowded, T.StructType([table.schema[partition], T.StructField("_files", T.IntegerType())])
     ).withColumnRenamed(partition, "_day")
     columns = table.columns
-    slot = F.pmod(F.xxhash64(*[c for c in columns if c != partition]), F.col("_files"))
     (
-        table.join(F.broadcast(sizes), F.col(partition).eqNullSafe(F.col("_day")))
-        .withColumn("_slot", slot)
+        table.select("*", F.col("_metadata.row_index").alias("_position"))
+        .join(F.broadcast(sizes), F.col(partition).eqNullSafe(F.col("_day")))
+        .withColumn("_slot", F.pmod("_position", "_files"))
         .repartition(sum(row["wanted"] for row in crowded), partition, "_slot")
         .sortWithinPartitions(partition, "_slot", *sort_by)
         .select(*columns)

@@ -72,10 +72,22 @@ def test_generic_columns(spark):
 
 
 def test_affected_days(frame):
-    target = frame("silver", [silver_row("a", "created", "10:00"), silver_row("b", "created", "10:00", created="2025-01-05T10:00"),
-                              silver_row(None, "created", "10:00", created="2025-01-07T10:00")])
-    delta = frame("silver", [silver_row("a", "created", "11:00", created="2025-01-02T10:00"), silver_row("c", "created", "11:00", created=None),
-                             silver_row(None, "created", "11:00")])
+    target = frame(
+        "silver",
+        [
+            silver_row("a", "created", "10:00"),
+            silver_row("b", "created", "10:00", created="2025-01-05T10:00"),
+            silver_row(None, "created", "10:00", created="2025-01-07T10:00"),
+        ],
+    )
+    delta = frame(
+        "silver",
+        [
+            silver_row("a", "created", "11:00", created="2025-01-02T10:00"),
+            silver_row("c", "created", "11:00", created=None),
+            silver_row(None, "created", "11:00"),
+        ],
+    )
     for limit in (0, 1 << 20):
         days = {str(d) for (d,) in rows(affected_days(target, delta, broadcast_bytes=limit))}
         assert days == {"2025-01-01", "2025-01-02", "2025-01-07", "None"}

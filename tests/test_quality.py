@@ -25,7 +25,8 @@ def gold_row(city="x", total=3, counts=(1, 1, 1), rate=0.5, revenue="1.00", mean
 
 @pytest.fixture(scope="module")
 def sound(frame):
-    silver = frame("silver", [silver_row(f"s{n}", s) for n, s in enumerate(["created", "confirmed", "cancelled"])])
+    statuses = ["created", "confirmed", "cancelled"]
+    silver = frame("silver", [silver_row(f"s{n}", status) for n, status in enumerate(statuses)])
     return silver, frame("gold", [gold_row()])
 
 

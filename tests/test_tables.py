@@ -152,10 +152,10 @@ def test_compact(spark, frame, tmp_path):
 
 
 def test_compact_sizes_files(spark, tmp_path):
-    """A big partition is split into several files, others are not touched."""
+    """A big partition is split into several files, copies of one row included."""
     path = str(tmp_path / "t")
     data = spark.range(20_000).select(
-        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.sha2(F.greatest(F.col("id"), F.lit(7_000)).cast("string"), 256).alias("text"),
         F.when(F.col("id") < 19_000, F.lit("2025-01-01")).otherwise("2025-01-02").cast("date").alias("day"),
     )
     data.repartition(12).write.partitionBy("day").parquet(path)
@@ -164,7 +164,11 @@ def test_compact_sizes_files(spark, tmp_path):
     tables.compact(spark, path, "day", ["text"], file_bytes=total[big] // 3)
     files = {r["day"]: r["files"] for r in tables.file_sizes(spark, path, "day").collect()}
     assert 2 <= files[big] <= 4 and files[dt.date(2025, 1, 2)] == 1
-    assert spark.read.parquet(path).distinct().count() == 20_000
+    table = spark.read.parquet(path)
+    assert (table.count(), table.distinct().count()) == (20_000, 13_000)
+    hot = table.groupBy("text").count().orderBy(F.desc("count")).first()["text"]
+    copies = table.where(F.col("text") == hot).select("_metadata.file_name").distinct().count()
+    assert copies == files[big]
 
 
 def test_hot_day_is_written_by_several_tasks(spark, tmp_path):
