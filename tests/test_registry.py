@@ -7,6 +7,7 @@ import check
 import pytest
 
 import __spark_entry__ as entry
+from staymark.suite import oracle, queries
 
 DIRECTORY = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -29,7 +30,9 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
+    assert set(queries.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

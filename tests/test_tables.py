@@ -211,7 +211,7 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 def test_staged_table_goes_away(spark, frame):
-    folder = Path(locations.shared_folder(spark)) / "staymark"
+    folder = Path(locations.new_folder(spark, "x")).parent
     with locations.staged(frame("hotels", [("h", "c", 1)]), "gone") as copy:
         assert copy.count() == 1 and list(folder.glob("gone-*"))
     assert not list(folder.glob("gone-*"))
