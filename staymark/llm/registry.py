@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from staymark.llm import language, near_documents, packing, quality, token_files, word_bpe
+from staymark.llm import language, near_documents, near_lines, packing, quality, token_files, word_bpe
 from staymark.llm.byte_bpe import id_type
 from staymark.llm.common import table
 from staymark.sinks.locations import new_folder
@@ -46,8 +47,15 @@ def op9_word_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return word_bpe.encode_decode(table(spark, directory, "documents"), WORD_BPE)
 
 
+def op10_near_lines(spark: SparkSession, directory: str) -> DataFrame:
+    cleaned = near_lines.remove_repeated_lines(table(spark, directory, "documents"))
+    return cleaned.select(
+        "doc_id", "n_lines", "n_removed", "n_near", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op5_token_files, op6_quality, op9_word_bpe)}
+    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op5_token_files, op6_quality, op9_word_bpe, op10_near_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
