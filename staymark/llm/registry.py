@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staymark.llm import language, near_documents, near_lines, packing, quality, token_files, word_bpe
+from staymark.llm import language, near_documents, near_lines, near_vectors, packing, quality, token_files, word_bpe
 from staymark.llm.byte_bpe import id_type
 from staymark.llm.common import table
 from staymark.sinks.locations import new_folder
@@ -31,6 +31,10 @@ def op3_near_documents(spark: SparkSession, directory: str) -> DataFrame:
     return near_documents.near_documents(table(spark, directory, "documents"))
 
 
+def op4_near_vectors(spark: SparkSession, directory: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, directory, "embeddings"))
+
+
 def op5_token_files(spark: SparkSession, directory: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     places = token_files.write(table(spark, directory, "documents"), folder, BYTE_BPE)
@@ -55,7 +59,7 @@ def op10_near_lines(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op5_token_files, op6_quality, op9_word_bpe, op10_near_lines)}
+    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op9_word_bpe, op10_near_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
