@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from staymark.llm import language, near_documents, near_lines, near_vectors, packing, quality, token_files, word_bpe
+from staymark.llm import (
+    language,
+    near_documents,
+    near_lines,
+    near_vectors,
+    packing,
+    quality,
+    secrets,
+    sql,
+    token_files,
+    url_lists,
+    word_bpe,
+)
 from staymark.llm.byte_bpe import id_type
 from staymark.llm.common import table
 from staymark.sinks.locations import new_folder
@@ -47,6 +59,42 @@ def op6_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.judge(documents, model)
 
 
+def url_events(pages: DataFrame) -> DataFrame:
+    """A dated list for the pages' own hosts and first path parts, from their digests."""
+    url = F.col("url")
+    named = F.filter(url_lists.keys(url), lambda k: F.contains(k, F.lit(".")) | F.contains(k, F.lit("/")))
+    # Domains, hosts, and host with one path part: deeper prefixes are single pages.
+    entries = pages.select(F.explode(named).alias("entry")).distinct()
+    entries = entries.where(F.size(F.split("entry", "/")) <= 2)
+
+    def digits(first: int):
+        return F.conv(F.substring(F.md5(F.col("entry").cast("binary")), first, 4), 16, 10).cast("int")
+
+    start = F.lit("2024-01-01").cast("date")
+    drawn = entries.select("entry", digits(1).alias("a"), digits(5).alias("b")).where("a % 3 = 0")
+    added = F.date_add(start, F.floor(F.col("a") / 3).cast("int") % 200)
+    removed = F.date_add(added, 30 + F.col("b") % 90)
+    verdict = F.when(F.col("b") % 4 != 0, "block").otherwise("allow")
+    nothing = F.lit(None).cast("string")
+    first = drawn.select("entry", added.alias("day"), verdict.alias("verdict"))
+    gone = drawn.where("b % 5 <> 0").select("entry", removed.alias("day"), nothing.alias("verdict"))
+    again = drawn.where("b % 7 = 0").select(
+        "entry", F.date_add(removed, 20).alias("day"), F.lit("block").alias("verdict")
+    )
+    return first.unionByName(gone).unionByName(again)
+
+
+def op7_url_lists(spark: SparkSession, directory: str) -> DataFrame:
+    pages = table(spark, directory, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int"))
+    captures = pages.withColumn("fetched", fetched)
+    return url_lists.judge(captures, url_events(pages))
+
+
+def op8_secrets(spark: SparkSession, directory: str) -> DataFrame:
+    return secrets.report(table(spark, directory, "documents"))
+
+
 def op9_word_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return word_bpe.encode_decode(table(spark, directory, "documents"), WORD_BPE)
 
@@ -59,8 +107,8 @@ def op10_near_lines(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op9_word_bpe, op10_near_lines)}
+    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op7_url_lists, op8_secrets, op9_word_bpe, op10_near_lines)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_url_lists": sql.URL_LISTS, "op8_secrets": sql.SECRETS}
