@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staymark.sinks.locations import delete_folder, new_folder
@@ -22,23 +19,16 @@ def two_columns(documents: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def map_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str
-) -> DataFrame:
-    """Apply ``function`` to each Arrow batch; it returns the columns of ``schema``."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
+def carried(documents: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns in one, so that none clashes with a new name."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.lit(True)
+    return documents.select("doc_id", "text", rest.alias("carried"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                columns = function(batch)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[f.name], f.type) for f in arrow], schema=arrow
-                )
 
-    return df.mapInArrow(run, schema)
+def uncarried(columns: list[str]) -> dict[str, Column]:
+    """By name, the columns that ``carried`` was given."""
+    return {c: F.col(c) if c in ("doc_id", "text") else F.col("carried")[c] for c in columns}
 
 
 class Kept:

@@ -14,6 +14,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -152,6 +153,22 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def identified(documents: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``documents`` whose text is not rejected, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(
+        tuple((lang, tuple(contents)) for lang, contents in sorted(model.items()))
+    )
+    spot = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classify = _identifier(shared.value)
+        for batch in batches:
+            rejected = [classify(text)[2] for text in batch.column(spot).to_pylist()]
+            yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def held_out():
     """Whether a document is kept from learning, by its doc_id alone."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
