@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+from staymark.sinks.locations import provide_folder
+
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -18,6 +22,14 @@ _RUNTIME = {
 }
 
 
+def try_out(spark: SparkSession) -> SparkSession:
+    """For runs straight from this repository: the shared folder of a trial run, and the
+    place where Python workers find the package."""
+    root = str(Path(__file__).resolve().parent.parent)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return provide_folder(spark)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     for name, value in _RUNTIME.items():
         spark.conf.set(name, value)
