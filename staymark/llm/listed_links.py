@@ -1,12 +1,12 @@
-"""Links between items that share a list, without all pairs of every list.
+"""Components of items that share a list, without all pairs of every list.
 
 Inverted lists name, for each key, the items that hold it; items of one list may be
 linked, and only a costly check can tell. What is wanted are the connected components
-that all links of all lists make. So a list first has its smallest item checked against
-the others, which settles most lists of copies; items that are in one component need no
-further check; and what is left is settled by more such rounds or, where few pairs are
-left, pair by pair. In the end every pair that shares a list has been checked or lies in
-one component, so no component is missed.
+that all links of all lists make. So each list first has one item, its hub, checked
+against the others, which settles most lists of copies: items linked to the same hub are
+in one component and need no further check. What is left is settled by more such rounds
+or, where few pairs are left, pair by pair. In the end every pair that shares a list and
+fits has been checked or is known to lie in one component, so no component is missed.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from staymark.llm.common import Kept
 from staymark.llm.components import components
 
-# Rounds with one item of each list against the others, before all remaining pairs.
+# Rounds with one hub for each list, before all remaining pairs are taken.
 ROUNDS = 4
 # Below this many remaining pairs per remaining list entry, all pairs are taken at once.
-PAIRS_PER_ENTRY = 16
+PAIRS_PER_ENTRY = 8
 
 
 def linked(
@@ -33,18 +33,21 @@ def linked(
 ) -> DataFrame:
     """Components of the items of ``lists``: node, component (items without links lack).
 
-    ``lists`` has the columns key and item (long), and size, which ``fits`` may compare
-    between the two sides of a pair as ``x`` and ``y`` (a cheap necessary condition that
-    saves checks). ``check`` gets pairs (a < b, long, distinct) and returns those that are
-    linked. It must tell the same of a pair each time.
+    ``lists`` has the columns key, item (long), first (the least is the hub of the first
+    round) and about, which ``fits`` may compare between the two sides of a pair as ``x``
+    and ``y`` (a cheap necessary condition that saves checks). ``check`` gets pairs (a < b,
+    long, distinct) and returns those that are linked. It must tell the same of a pair
+    each time.
     """
-    found = None
+    open_ = lists.withColumn("label", F.col("item"))
     links = None
-    open_ = lists
     for turn in range(ROUNDS + 1):
-        # Another item is asked each round, in an order that differs between rounds.
-        rank = F.struct(F.xxhash64("item", F.lit(turn)) if turn else F.lit(0).cast("long"), "item", "size")
-        hubs = open_.groupBy("key").agg(F.min(rank).alias("hub"), F.count("*").alias("n"))
+        order = F.xxhash64("item", F.lit(turn)) if turn else F.col("first").cast("long")
+        hubs = open_.groupBy("key").agg(
+            F.min(F.struct(order.alias("order"), "item", "label", "about")).alias("hub"),
+            F.count("*").alias("n"),
+        )
+        last = False
         if turn:
             volume = hubs.agg(
                 F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"), F.sum("n").alias("entries")
@@ -52,34 +55,26 @@ def linked(
             if not volume["entries"]:
                 break
             last = turn == ROUNDS or volume["pairs"] <= PAIRS_PER_ENTRY * volume["entries"]
-        else:
-            last = False
+        y = open_.alias("y")
         if last:
-            x, y = open_.alias("x"), open_.alias("y")
-            met = x.join(y, "key").where(f"x.item < y.item AND x.component <> y.component AND ({fits})")
+            x = open_.alias("x")
+            met = x.join(y, "key").where(f"x.item < y.item AND x.label <> y.label AND ({fits})")
         else:
-            x = hubs.where("n > 1").select("key", "hub.item", "hub.size").alias("x")
-            y = open_.alias("y")
-            met = x.join(y, "key").where(f"x.item <> y.item AND ({fits})")
-            if turn:
-                x = hubs.join(open_.select("key", "item", F.col("component").alias("own")), "key")
-                x = x.where("item = hub.item").select("key", "item", "hub.size", "own").alias("x")
-                met = x.join(y, "key").where(f"x.own <> y.component AND ({fits})")
+            x = hubs.where("n > 1").select("key", "hub.item", "hub.label", "hub.about").alias("x")
+            met = x.join(y, "key").where(f"x.item <> y.item AND x.label <> y.label AND ({fits})")
         pairs = met.select(
             F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")
         ).distinct()
         fresh = kept.write(check(pairs).select("a", "b"), f"links{turn}")
         links = fresh if links is None else links.unionByName(fresh)
-        found = components(links, kept, f"components{turn}")
         if last:
             break
-        # Lists whose items are not all in one component stay open.
-        before = open_.select("key", "item", "size") if turn else lists
-        own = before.join(found, F.col("item") == F.col("node"), "left").select(
-            "key", "item", "size", F.coalesce("component", "item").alias("component")
-        )
-        own = kept.write(own, "entries")
-        mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        open_ = kept.write(own.join(mixed.where("lo <> hi").select("key"), "key"), "open")
-        kept.drop("entries")
-    return found
+        # Items linked to one item are in one component: they share the least as a label.
+        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        labels = ends.groupBy(F.col("a").alias("item")).agg(F.least(F.min("b"), F.col("item")).alias("linked"))
+        known = open_.drop("label").join(labels, "item", "left")
+        known = known.withColumn("label", F.coalesce("linked", "item")).drop("linked")
+        mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        # Lists whose items do not all share a label stay open.
+        open_ = kept.write(known.join(mixed.where("lo <> hi").select("key"), "key"), "open")
+    return components(links, kept)

@@ -129,10 +129,13 @@ def _lines(documents: DataFrame, threshold: int) -> DataFrame:
 
 
 def _lists(items: DataFrame) -> DataFrame:
-    """key, item, size of the lists that hold a line by its own segment and another line."""
+    """key, item, first, about (length) of the lists that hold a line by its own segment
+    and another line."""
 
     def of(column: str, own: bool) -> DataFrame:
-        keys = items.select(F.explode(column).alias("key"), "item", "size")
+        keys = items.select(
+            F.explode(column).alias("key"), "item", F.col("place.doc_id").alias("first"), F.col("size").alias("about")
+        )
         return keys.where("key <> 0").withColumn("own", F.lit(own))
 
     rows = of("own", True).unionByName(of("probes", False))
@@ -140,7 +143,9 @@ def _lists(items: DataFrame) -> DataFrame:
         F.bool_or("own").alias("own"), F.min("item").alias("lo"), F.max("item").alias("hi")
     )
     useful = useful.where("own AND lo <> hi").select("key")
-    return rows.drop("own").join(useful, "key").groupBy("key", "item").agg(F.min("size").alias("size"))
+    return rows.drop("own").join(useful, "key").groupBy("key", "item").agg(
+        F.min("first").alias("first"), F.min("about").alias("about")
+    )
 
 
 def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -190,7 +195,7 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, kept: Kept
         found = kept.write(_texts_of(documents, ends.join(places, "item")), "texts")
         return _verified(pairs, found, threshold)
 
-    found = linked(listed, check, kept, f"abs(x.size - y.size) <= {threshold}")
+    found = linked(listed, check, kept, f"abs(x.about - y.about) <= {threshold}")
     grouped = items.join(found, items["item"] == found["node"], "left").select(
         "low", "high", "place", F.coalesce("component", "item").alias("component")
     )

@@ -111,6 +111,7 @@ def _placed(items: DataFrame, forests: dict[int, Forest]) -> DataFrame:
                 bounds = np.searchsorted(row, np.arange(len(part) + 1))
                 every = [code[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 out = part.iloc[row].copy()
+                out["label"] = out["label"].to_numpy(object)
                 out["leaf"], out["size"] = code, size
                 out["leaves"] = [every[r] for r in row]
                 yield out

@@ -177,11 +177,11 @@ def find(keys: DataFrame, folder: str, parts: int) -> DataFrame:
             with _open(folder, _part(int(frame["part"].iloc[0]))) as file:
                 block = file.read()
         except FileNotFoundError:  # no key belongs to this part
-            return pd.DataFrame({c: [] for c in ("key", *_RECORD.names)})
+            return pd.DataFrame({c: pd.Series(dtype=object) for c in ("key", *_RECORD.names)})
         index, end = PerfectHash.from_bytes(block)
         number = index.find(hash_keys(frame["key"].tolist()))
         records = np.frombuffer(block, _RECORD, offset=end)[number[number >= 0]]
-        found = {"key": frame["key"].to_numpy()[number >= 0]}
+        found = {"key": pd.Series(frame["key"].to_numpy(object)[number >= 0], dtype=object)}
         return pd.DataFrame(found | {c: records[c].astype("int64") for c in _RECORD.names})
 
     grouped = keys.select("key", _part_of(parts)).groupBy("part")
@@ -201,7 +201,7 @@ def checksums(found: DataFrame, folder: str, dtype: str) -> DataFrame:
 
     def read(frame: pd.DataFrame) -> pd.DataFrame:
         width = np.dtype(dtype).itemsize
-        frame = frame.sort_values("at")
+        frame = frame.sort_values("at", ignore_index=True)
         sums = []
         with _open(folder, _shard(int(frame["shard"].iloc[0]))) as file:
             for at, n in zip(frame["at"], frame["n"], strict=True):
@@ -209,7 +209,7 @@ def checksums(found: DataFrame, folder: str, dtype: str) -> DataFrame:
                 ids = np.frombuffer(file.read(n * width), dtype)
                 sums.append(zlib.crc32(ids.astype("<u4")))
         return pd.DataFrame(
-            {"key": frame["key"], "start": frame["start"], "n_tokens": frame["n"], "ids_crc32": sums}
+            {"key": frame["key"].astype(object), "start": frame["start"], "n_tokens": frame["n"], "ids_crc32": sums}
         )
 
     return found.groupBy("shard").applyInPandas(
