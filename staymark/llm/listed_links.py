@@ -3,10 +3,10 @@
 Inverted lists name, for each key, the items that hold it; items of one list may be
 linked, and only a costly check can tell. What is wanted are the connected components
 that all links of all lists make. So each list first has one item, its hub, checked
-against the others, which settles most lists of copies: items linked to the same hub are
-in one component and need no further check. What is left is settled by more such rounds
-or, where few pairs are left, pair by pair. In the end every pair that shares a list and
-fits has been checked or is known to lie in one component, so no component is missed.
+against the others, which settles most lists of copies: items that are then in one
+component need no further check. What is left is settled by more such rounds or, where
+few pairs are left, pair by pair. In the end every pair that shares a list and fits has
+been checked or is known to lie in one component, so no component is missed.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from staymark.llm.common import Kept
 from staymark.llm.components import components
 
 # Rounds with one hub for each list, before all remaining pairs are taken.
-ROUNDS = 4
+ROUNDS = 3
 # Below this many remaining pairs per remaining list entry, all pairs are taken at once.
-PAIRS_PER_ENTRY = 8
+PAIRS_PER_ENTRY = 32
 
 
 def linked(
@@ -40,26 +40,26 @@ def linked(
     each time.
     """
     open_ = lists.withColumn("label", F.col("item"))
-    links = None
+    links, last = None, False
     for turn in range(ROUNDS + 1):
         order = F.xxhash64("item", F.lit(turn)) if turn else F.col("first").cast("long")
-        hubs = open_.groupBy("key").agg(
-            F.min(F.struct(order.alias("order"), "item", "label", "about")).alias("hub"),
-            F.count("*").alias("n"),
-        )
-        last = False
         if turn:
-            volume = hubs.agg(
-                F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"), F.sum("n").alias("entries")
+            # Pairs of different components in lists that have several.
+            counts = open_.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
+            counts = counts.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+            volume = counts.agg(
+                F.sum((F.col("n") * F.col("n") - F.col("same")) / 2).alias("pairs"), F.sum("n").alias("entries")
             ).first()
             if not volume["entries"]:
-                break
+                return found
             last = turn == ROUNDS or volume["pairs"] <= PAIRS_PER_ENTRY * volume["entries"]
         y = open_.alias("y")
         if last:
             x = open_.alias("x")
             met = x.join(y, "key").where(f"x.item < y.item AND x.label <> y.label AND ({fits})")
         else:
+            best = F.min(F.struct(order.alias("order"), "item", "label", "about")).alias("hub")
+            hubs = open_.groupBy("key").agg(best, F.count("*").alias("n"))
             x = hubs.where("n > 1").select("key", "hub.item", "hub.label", "hub.about").alias("x")
             met = x.join(y, "key").where(f"x.item <> y.item AND x.label <> y.label AND ({fits})")
         pairs = met.select(
@@ -67,14 +67,12 @@ def linked(
         ).distinct()
         fresh = kept.write(check(pairs).select("a", "b"), f"links{turn}")
         links = fresh if links is None else links.unionByName(fresh)
+        found = components(links, kept, f"components{turn}")
         if last:
-            break
-        # Items linked to one item are in one component: they share the least as a label.
-        ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        labels = ends.groupBy(F.col("a").alias("item")).agg(F.least(F.min("b"), F.col("item")).alias("linked"))
-        known = open_.drop("label").join(labels, "item", "left")
-        known = known.withColumn("label", F.coalesce("linked", "item")).drop("linked")
+            return found
+        known = open_.drop("label").join(found, F.col("item") == F.col("node"), "left")
+        known = known.withColumn("label", F.coalesce("component", "item")).drop("node", "component")
         mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        # Lists whose items do not all share a label stay open.
+        # Lists whose items are not all in one component stay open.
         open_ = kept.write(known.join(mixed.where("lo <> hi").select("key"), "key"), "open")
-    return components(links, kept)
+    return found
