@@ -1,10 +1,12 @@
 """Ids of whole texts from a byte-level BPE tokenizer file, by distinct units.
 
-The tokenizer first cuts a text by a pattern in which white space only begins a piece. A
-space between two characters that are not white space therefore always begins a new
-piece, and what is left of it does not change what is right of it. So a text is cut
-there, each distinct unit goes through the tokenizers library once, and the ids are put
-together again; the result is that of encoding the whole text.
+The tokenizer first cuts a text by a pattern: runs of letters, of digits and of other
+characters, each with a space before it, and white space. So a new piece always begins at
+a space or line break between two characters that are not white space, after such a line
+break, and at a dot or comma after a letter, and what is left of there does not change
+what is right of it. A text is cut at these places, each distinct unit goes through the
+tokenizers library once, and the ids are put together again; the result is that of
+encoding the whole text.
 """
 
 from __future__ import annotations
@@ -14,22 +16,33 @@ import re
 
 import numpy as np
 
-# Distinct units remembered per Python worker, about 200 bytes each.
-REMEMBERED_UNITS = 400_000
+# Distinct words remembered per Python worker, about 200 bytes each; three times as many
+# with those remembered before and the parts that words are made of.
+REMEMBERED_UNITS = 300_000
 # A unit over this many characters is encoded each time it occurs.
 LONG_UNIT = 200
 
-# White space in the sense of the tokenizer's pattern, next to a space.
-_ODD_SPACE = re.compile(r"\s[ ]|[ ]\s")
+# White space in the sense of the tokenizer's pattern, next to white space.
+_ODD_SPACE = re.compile(r"\s\s")
+_CUT = re.compile(r"(?= )|(?=\n)|(?<=\n)|(?<=[^\W\d_])(?=[.,])")
+_AFTER_LATIN = "\u0250"
+
+
+def _printable() -> dict[int, int]:
+    """How byte-level vocabularies write each byte: as itself if it is printable Latin-1,
+    else as one of the characters from U+0100 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 0x100 + i for i, b in enumerate(hidden)}
+
+
+_PRINTABLE = _printable()
 _PLAIN_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
 def units(text: str) -> list[str]:
     """Parts of ``text`` that encode independently; together they are ``text``."""
-    if _ODD_SPACE.search(text):
-        return _PLAIN_SPACE.split(text)
-    head, *rest = text.split(" ")
-    return [head, *[" " + part for part in rest]] if head else [" " + part for part in rest]
+    return (_PLAIN_SPACE if _ODD_SPACE.search(text) else _CUT).split(text)
 
 
 class ByteBpe:
@@ -42,30 +55,58 @@ class ByteBpe:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        self._model = self._tokenizer.model
         self._dtype = id_type(self._tokenizer.get_vocab_size())
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
         self._remembered = remembered
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a part of a unit. Letters alone are one piece of the pattern, so the
+        model gets them as they are, its bytes in the printable form of the vocabulary."""
+        known = self._pieces.get(piece)
+        if known is None:
+            word = piece[1:] if piece[0] == " " else piece
+            if word.isalpha() and max(word) < _AFTER_LATIN:
+                shown = piece.encode().decode("latin-1").translate(_PRINTABLE)
+                ids = [token.id for token in self._model.tokenize(shown)]
+            else:
+                ids = self._tokenizer.encode(piece, add_special_tokens=False).ids
+            known = np.fromiter(ids, self._dtype, len(ids)).tobytes()
+            if len(piece) <= LONG_UNIT:
+                self._pieces[piece] = known
+        return known
+
+    def _text(self, text: str) -> bytes:
+        cut = _PLAIN_SPACE if _ODD_SPACE.search(text) else _CUT
+        return b"".join([self._piece(piece) for piece in cut.split(text) if piece])
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        cut = [units(text) for text in texts]
-        new = {unit for parts in cut for unit in parts if unit not in self._known}
-        if len(self._known) + len(new) > self._remembered:
-            self._known = {}
-            new = {unit for parts in cut for unit in parts}
-        fresh = list(new)
-        encoded = self._tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        for unit, encoding in zip(fresh, encoded, strict=True):
-            self._known[unit] = np.array(encoding.ids, self._dtype).tobytes()
-        known = self._known.__getitem__
-        ids = [np.frombuffer(b"".join(map(known, parts)), self._dtype) for parts in cut]
-        if len(self._known) > self._remembered:  # one batch alone held more
-            self._known = {}
-        else:
-            for unit in fresh:
-                if len(unit) > LONG_UNIT:
-                    del self._known[unit]
-        return ids
+        # Words after a space, by the word, in texts with no other doubtful white space.
+        cut = [None if _ODD_SPACE.search(text) else text.split(" ") for text in texts]
+        # Words used lately stay when others are forgotten.
+        if len(self._known) > self._remembered:
+            self._known, self._before, self._pieces = {}, self._known, {}
+        known, before = self._known, self._before
+        words = set()
+        for parts in cut:
+            words.update(parts[1:] if parts else ())
+        long = []
+        for word in words.difference(known):
+            known[word] = before[word] if word in before else self._text(" " + word)
+            if len(word) > LONG_UNIT:
+                long.append(word)
+        made = [
+            b"".join([self._text(parts[0]), *map(known.__getitem__, parts[1:])])
+            if parts
+            else self._text(text)
+            for text, parts in zip(texts, cut, strict=True)
+        ]
+        for word in long:
+            del known[word]
+        return [np.frombuffer(ids, self._dtype) for ids in made]
 
 
 def id_type(vocabulary: int) -> str:
