@@ -135,26 +135,30 @@ class BookingTables:
         """Merge bookings with news past ``mark`` into silver and redo their days in gold."""
         delta = silver_delta(self.bookings, self.events, mark, self.model, as_of=self.as_of)
         silver_path = tables.current_path(self.spark, self.silver_root)
-        with (
-            staged(delta, "delta") as delta,
-            staged(affected_days(self.silver(), delta), "days") as days,
-        ):
-            tables.upsert_silver(
-                self.spark, silver_path, delta, _with_day(self._silver_schema), day=SILVER_DAY
-            )
-            self._redo_gold(days)
+        with staged(delta, "delta") as delta:
+            if delta.isEmpty():
+                return
+            with staged(affected_days(self.silver(), delta), "days") as days:
+                tables.upsert_silver(
+                    self.spark,
+                    silver_path,
+                    delta,
+                    _with_day(self._silver_schema),
+                    day=SILVER_DAY,
+                    days=days,
+                )
+                self._redo_gold(days, tables.on_days(self.silver(), SILVER_DAY, days))
 
     def backfill(self, first: str, last: str) -> None:
         """Recompute gold for the days from ``first`` to ``last`` from current silver."""
         days = self.spark.sql(
             f"SELECT explode(sequence(DATE'{first}', DATE'{last}', INTERVAL 1 DAY)) AS day"
         )
-        self._redo_gold(days)
+        low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
+        self._redo_gold(days, self.silver().where(F.col(SILVER_DAY).between(low, high)))
 
-    def _redo_gold(self, days: DataFrame) -> None:
-        silver, listed = self.silver(), tables.listed_days(days)
-        if listed is not None:
-            silver = silver.where(tables.on_days(SILVER_DAY, listed))
+    def _redo_gold(self, days: DataFrame, silver: DataFrame) -> None:
+        """Replace ``days`` of gold by those of ``silver``, which has no others."""
         with staged(self._kpis(silver), "kpis") as kpis:
             tables.overwrite_days(
                 kpis,

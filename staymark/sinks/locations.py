@@ -90,9 +90,24 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         delete_folder(df.sparkSession, path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _file_system(spark, path)
+    return store.exists(target)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Name and time of last change (seconds) of everything directly in a folder."""
+    store, target = _file_system(spark, path)
+    found = store.listStatus(target) if store.exists(target) else []
+    return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a table folder, wherever Hadoop can reach it."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    return target.getFileSystem(hadoop).delete(target, True)
+    store, target = _file_system(spark, path)
+    return store.delete(target, True)

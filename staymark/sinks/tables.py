@@ -5,25 +5,23 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staymark.operators.rows import rows_without
+from staymark.operators.rows import rows_with, rows_without
 from staymark.operators.sizing import BROADCAST_BYTES, broadcast_if_fits
 from staymark.plans.incremental import affected_days, merge_silver
-from staymark.sinks.locations import delete_folder, staged
+from staymark.sinks.locations import delete_folder, folder_exists, list_folder, staged
 
 # Files this large read well and are few.
 FILE_BYTES = 192 * 1024 * 1024
-# Most partition values that are turned into a literal filter.
-MAX_LISTED_DAYS = 20_000
 
 _COMMIT = T.StructType(
     [
-        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("version", T.LongType()),
         T.StructField("path", T.StringType()),
     ]
 )
@@ -125,19 +123,48 @@ def publish(
     spark = df.sparkSession
     path = f"{root}/data/{uuid.uuid4().hex}"
     write_table(df, path, partition_by=partition_by, sort_by=sort_by)
-    spark.range(1).select(
-        F.current_timestamp().alias("committed_at"), F.lit(path).alias("path")
-    ).write.mode("append").json(f"{root}/commits")
+    last = _last_commit(spark, root)
+    _commit(spark, root, last["version"] + 1 if last else 1, path)
     return path
 
 
+def _commit(spark: SparkSession, root: str, version: int, path: str) -> None:
+    """Record ``path`` as a version; fails if another writer took the number."""
+    record = spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"))
+    record.coalesce(1).write.mode("error").json(f"{root}/commits/version={version}")
+
+
+def _last_commit(spark: SparkSession, root: str):
+    """The commit of the highest number, None if there is none yet."""
+    if not folder_exists(spark, f"{root}/commits"):
+        return None
+    reader = spark.read.schema(_COMMIT).option("recursiveFileLookup", True)
+    last = reader.json(f"{root}/commits").agg(F.max(F.struct("version", "path")).alias("last")).first()
+    return last["last"]
+
+
 def current_path(spark: SparkSession, root: str) -> str:
     """Where the last committed version below ``root`` is."""
-    commits = spark.read.schema(_COMMIT).json(f"{root}/commits")
-    path = commits.agg(F.max_by("path", "committed_at").alias("path")).first()["path"]
-    if path is None:
+    last = _last_commit(spark, root)
+    if last is None:
         raise FileNotFoundError(f"no committed version below {root}")
-    return path
+    return last["path"]
+
+
+def expire_versions(spark: SparkSession, root: str, older_than: dt.timedelta) -> list[str]:
+    """Delete version folders that are neither current nor younger than ``older_than``.
+
+    Readers of an old version and writers that have not committed yet need its folder, so
+    choose an age beyond the longest of them. Returns the folders deleted.
+    """
+    keep = current_path(spark, root).rpartition("/")[2]
+    before = dt.datetime.now().timestamp() - older_than.total_seconds()
+    gone = []
+    for name, modified in list_folder(spark, f"{root}/data"):
+        if name != keep and modified <= before:
+            delete_folder(spark, f"{root}/data/{name}")
+            gone.append(name)
+    return gone
 
 
 def current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
@@ -148,16 +175,23 @@ def current(spark: SparkSession, root: str, schema: T.StructType | None = None)
 # --- partition overwrite --------------------------------------------------------------
 
 
-def listed_days(days: DataFrame) -> list[dt.date | None] | None:
-    """The distinct values of a one-column frame of days, or None if they are too many."""
-    values = days.distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    return None if len(values) > MAX_LISTED_DAYS else [row[0] for row in values]
+def on_days(df: DataFrame, column: str, days: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose partition ``column`` is among ``days`` (one column; NULL is a day).
 
-
-def on_days(column: str, days: Sequence[dt.date | None]) -> Column:
-    """Filter on a partition column; a literal list, so that folders are pruned."""
-    wanted = F.col(column).isin([d for d in days if d is not None])
-    return wanted | F.col(column).isNull() if None in days else wanted
+    The first and last day are literal bounds, so that folders outside are pruned; a semi
+    join keeps exactly the days wanted, however many they are. ``days`` is read twice, so
+    pass a written table.
+    """
+    day = F.col(days.columns[0])
+    span = days.agg(
+        F.min(day).alias("first"), F.max(day).alias("last"), F.bool_or(day.isNull()).alias("undated")
+    ).first()
+    inside = F.lit(False)
+    if span["first"] is not None:
+        inside = F.col(column).between(F.lit(span["first"]), F.lit(span["last"]))
+    if span["undated"]:
+        inside = inside | F.col(column).isNull()
+    return rows_with(df.where(inside), days, column)
 
 
 def partition_folder(path: str, column: str, day: dt.date | None) -> str:
@@ -197,20 +231,27 @@ def upsert_silver(
     *,
     day: str = "created_date",
     replace: bool = False,
+    days: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
     """Bring the rows of ``delta`` into the silver table at ``path``.
 
     By default by MERGE rules: a matched booking keeps its created_at and so its day.
     With ``replace`` the rows of ``delta`` stand in for those they match and may move
-    to another day. Only the days concerned are rewritten. They are written to the
-    shared folder first and swapped in from there, so a run that dies can be
+    to another day. ``days`` are the days concerned, if the caller has them already (see
+    ``affected_days``). Only these are rewritten, and nothing if the delta is empty. They
+    are written to the shared folder first and swapped in from there, so a run that dies can be
     repeated: the same delta a second time changes nothing.
     """
-    with staged(delta, "delta") as delta:
+    with ExitStack() as stack:
+        delta = stack.enter_context(staged(delta, "delta"))
+        if delta.isEmpty():
+            return
         target = read_table(spark, path, schema)
-        touched = listed_days(affected_days(target, delta, broadcast_bytes=broadcast_bytes))
-        old_days = target if touched is None else target.where(on_days(day, touched))
+        if days is None:
+            days = affected_days(target, delta, broadcast_bytes=broadcast_bytes)
+        days = stack.enter_context(staged(days, "days"))
+        old_days = on_days(target, day, days)
         old = old_days.drop(day)
         if replace:
             ids = broadcast_if_fits(delta.select("booking_id"), broadcast_bytes)
@@ -250,39 +291,56 @@ def compact(
 
     Rows do not change. A partition gets as many files as it has ``file_bytes``. Its rows
     are dealt out to them by position, so copies of one row spread too, and a task that is
-    run again deals the same way. Partitions already in shape are not read.
+    run again deals the same way. Partitions already in shape are not read. The new files
+    come from a checked copy beside the table, which stays until they are swapped in: a run
+    that dies before is finished by the next one. Nothing else may write these partitions
+    until then.
     """
-    wanted = F.ceil(F.col("bytes") / F.lit(file_bytes)).cast("int")
-    crowded = (
-        file_sizes(spark, path, partition)
-        .withColumn("wanted", wanted)
-        .where(F.col("files") > F.col("wanted"))
-        .select(partition, "wanted")
-        .collect()
-    )
-    if not crowded:
-        return []
-    days = [row[partition] for row in crowded]
-    table = read_table(spark, path, schema).where(on_days(partition, days))
-    sizes = spark.createDataFrame(
-        crowded, T.StructType([table.schema[partition], T.StructField("_files", T.IntegerType())])
-    ).withColumnRenamed(partition, "_day")
-    columns = table.columns
+    ready = f"{path}_compacted"
+    if not folder_exists(spark, f"{ready}/_SUCCESS"):  # else a run ended while swapping in
+        wanted = F.ceil(F.col("bytes") / F.lit(file_bytes)).cast("int")
+        sizes = file_sizes(spark, path, partition).withColumn("_files", wanted)
+        crowded = sizes.where(F.col("files") > F.col("_files")).select(F.col(partition).alias("_day"), "_files")
+        with staged(crowded, "crowded") as crowded:
+            if crowded.isEmpty():
+                return []
+            table = on_days(read_table(spark, path, schema), partition, crowded.select("_day"))
+            dealt = (
+                table.select("*", F.col("_metadata.row_index").alias("_position"))
+                .join(crowded, F.col(partition).eqNullSafe(F.col("_day")))
+                .withColumn("_slot", F.pmod("_position", "_files"))
+                .drop("_position", "_day", "_files")
+            )
+            dealt.write.mode("overwrite").parquet(ready)
+            _same_rows(table, spark.read.parquet(ready))
+    copy = spark.read.parquet(ready)
+    files = copy.select(partition, "_slot").distinct()
     (
-        table.select("*", F.col("_metadata.row_index").alias("_position"))
-        .join(F.broadcast(sizes), F.col(partition).eqNullSafe(F.col("_day")))
-        .withColumn("_slot", F.pmod("_position", "_files"))
-        .repartition(sum(row["wanted"] for row in crowded), partition, "_slot")
+        copy.repartition(max(1, files.count()), partition, "_slot")
         .sortWithinPartitions(partition, "_slot", *sort_by)
-        .select(*columns)
+        .drop("_slot")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    # One value for each partition rewritten.
+    days = [row[partition] for row in files.select(partition).distinct().collect()]
+    delete_folder(spark, ready)
     return days
 
 
+def _same_rows(table: DataFrame, copy: DataFrame) -> None:
+    """Fail unless ``copy`` has the rows of ``table``, as far as counts and hashes tell."""
+
+    def told(df: DataFrame):
+        row = F.xxhash64(*table.columns)
+        return df.agg(F.count("*").alias("n"), F.sum(row % 1_000_003).alias("hashes")).first()
+
+    if told(table) != told(copy):
+        raise RuntimeError("the compacted copy differs from its table")
+
+
 def read_evolved(spark: SparkSession, *paths: str) -> DataFrame:
     """Files of several schema versions as one table; columns a file lacks read as NULL."""
     return spark.read.option("mergeSchema", True).parquet(*paths)

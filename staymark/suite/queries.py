@@ -7,6 +7,7 @@ status, refunds counted negative, prices cut by a fee, or gold built too early.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
@@ -242,8 +243,7 @@ def _early_gold_table(t: Layers) -> str:
 def partition_overwrite(t: Layers) -> DataFrame:
     path = _early_gold_table(t)
     days = written(t.delta().select(F.to_date("created_at").alias("day")).distinct(), "days")
-    touched = tables.on_days("booking_date", tables.listed_days(days))
-    renewed = written(t.gold.where(touched), "kpis")
+    renewed = written(tables.on_days(t.gold, "booking_date", days), "kpis")
     tables.overwrite_days(renewed, path, "booking_date", sort_by=["city"], answers_for=days)
     return tables.read_table(t.spark, path, t.gold.schema)
 
@@ -267,6 +267,20 @@ def backfill_range(t: Layers) -> DataFrame:
     return tables.read_table(t.spark, path, t.gold.schema)
 
 
+def backfill_tables(t: Layers) -> DataFrame:
+    """Gold built too early, of which only a range of days is computed again."""
+    stored = booking_tables(t)
+    stored.full_refresh(until=MARK)
+    tables.publish(
+        tables.with_day(t.silver, "created_at", "created_date"),
+        stored.silver_root,
+        partition_by=["created_date"],
+    )
+    first, end = (dt.date.fromisoformat(d) for d in BACKFILL)
+    stored.backfill(first.isoformat(), (end - dt.timedelta(days=1)).isoformat())
+    return stored.gold()
+
+
 def compacted(t: Layers) -> DataFrame:
     path = new_folder(t.spark, "silver")
     scattered = tables.with_day(t.silver, "created_at", "created_date").repartition(4)
@@ -441,6 +455,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_partitioned_scan": partitioned_scan,
     "gold_partition_overwrite": partition_overwrite,
     "gold_backfill_range": backfill_range,
+    "gold_backfill_tables": backfill_tables,
     "compact_partitions": compacted,
     "schema_evolution_union": evolved,
     "analyzed_table_scan": analyzed,

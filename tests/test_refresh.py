@@ -5,8 +5,11 @@ import datetime as dt
 import pytest
 from conftest import HOTELS, event, rows, snapshot
 
+from pyspark.sql import functions as F
+
 from staymark.plans import gold, quality
 from staymark.plans.refresh import BookingTables
+from staymark.sinks import locations, tables
 
 FIRST = [
     snapshot("a", "created", "2025-01-01T10:00", created="2025-01-01T10:00"),
@@ -90,3 +93,22 @@ def test_backfill(stored):
     want = rows(stored.gold())
     stored.backfill("2025-01-02", "2025-01-03")
     assert rows(stored.gold()) == want
+
+
+def test_backfill_touches_its_range_only(spark, stored):
+    """Gold that is stale everywhere is mended inside the range and stays stale outside."""
+    stored.full_refresh()
+    good = rows(stored.gold())
+    stale = stored.gold().withColumn("total_bookings", F.lit(99).cast("long"))
+    tables.publish(locations.written(stale, "stale"), stored.gold_root, partition_by=["booking_date"])
+    stored.backfill("2025-01-02", "2025-01-03")
+    for row in stored.gold().collect():
+        inside = dt.date(2025, 1, 2) <= row["booking_date"] <= dt.date(2025, 1, 3)
+        assert (tuple(row) in good) == inside and (row["total_bookings"] == 99) != inside
+
+
+def test_empty_delta_changes_nothing(spark, stored, tmp_path):
+    stored.full_refresh()
+    files = {p for p in (tmp_path / "tables").rglob("*.parquet")}
+    stored.incremental_refresh("2030-01-01 00:00:00")
+    assert {p for p in (tmp_path / "tables").rglob("*.parquet")} == files
