@@ -13,7 +13,8 @@ def components(links: DataFrame, kept: Kept, label: str = "components") -> DataF
 
     Returns node, component for every node that has a link to another. Each round first
     links all larger neighbours of a node to its smallest one, then the node and its
-    smaller neighbours; paths shrink to stars in logarithmically many rounds. A hub's rows
+    smaller neighbours; paths shrink to stars in logarithmically many rounds, and the rounds end when one look
+    at each node's neighbours finds nothing but stars. A hub's rows
     are pre-aggregated before each shuffle, its join may be split, and each round is a
     written table, so lost executors cost one round at most.
     """
@@ -33,20 +34,21 @@ def components(links: DataFrame, kept: Kept, label: str = "components") -> DataF
         moved = down.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         return moved.unionByName(least.select("a", F.col("least").alias("b")))
 
-    def state(edges: DataFrame):
-        row = edges.agg(
-            F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.sum(F.col("b") % 1_000_003).alias("s")
-        ).first()
-        return row["n"], row["x"], row["s"]
+    def stars(edges: DataFrame) -> bool:
+        """Whether every node has one smaller neighbour, or only larger ones."""
+        above = edges.select(F.col("a").alias("node"), F.col("b").alias("least"))
+        below = edges.select(F.col("b").alias("node"), F.lit(None).cast("long").alias("least"))
+        nodes = above.unionByName(below).groupBy("node").agg(
+            F.min("least").alias("lo"), F.max("least").alias("hi"), F.bool_or(F.isnull("least")).alias("under")
+        )
+        return nodes.where("lo <> hi OR (lo IS NOT NULL AND under)").isEmpty()
 
     edges = kept.write(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         label,
     )
-    before, now = None, state(edges)
-    while now != before:
+    while not stars(edges):
         edges = kept.write(small(large(edges)).where("a <> b").distinct(), label)
-        before, now = now, state(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -12,6 +12,7 @@ been checked or is known to lie in one component, so no component is missed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ def linked(
     check: Callable[[DataFrame], DataFrame],
     kept: Kept,
     fits: str = "true",
+    pairs_per_entry: int = PAIRS_PER_ENTRY,
 ) -> DataFrame:
     """Components of the items of ``lists``: node, component (items without links lack).
 
@@ -37,10 +39,12 @@ def linked(
     round) and about, which ``fits`` may compare between the two sides of a pair as ``x``
     and ``y`` (a cheap necessary condition that saves checks). ``check`` gets pairs (a < b,
     long, distinct) and returns those that are linked. It must tell the same of a pair
-    each time.
+    each time. Up to ``pairs_per_entry`` pairs that remain for each list entry, all are
+    taken at once instead of another hub round: the more, the more of them ``fits`` drops.
+    So they are, too, when a hub round did not settle half of what was left.
     """
     open_ = lists.withColumn("label", F.col("item"))
-    links, last = None, False
+    found, left, last = None, None, False
     for turn in range(ROUNDS + 1):
         order = F.xxhash64("item", F.lit(turn)) if turn else F.col("first").cast("long")
         if turn:
@@ -52,7 +56,10 @@ def linked(
             ).first()
             if not volume["entries"]:
                 return found
-            last = turn == ROUNDS or volume["pairs"] <= PAIRS_PER_ENTRY * volume["entries"]
+            pairs, before = volume["pairs"], left
+            last = turn == ROUNDS or pairs <= pairs_per_entry * volume["entries"]
+            last = last or (before is not None and 2 * pairs > before)
+            left = pairs
         y = open_.alias("y")
         if last:
             x = open_.alias("x")
@@ -66,8 +73,12 @@ def linked(
             F.least("x.item", "y.item").alias("a"), F.greatest("x.item", "y.item").alias("b")
         ).distinct()
         fresh = kept.write(check(pairs).select("a", "b"), f"links{turn}")
-        links = fresh if links is None else links.unionByName(fresh)
-        found = components(links, kept, f"components{turn}")
+        if found is None or not fresh.isEmpty():
+            # What earlier rounds linked takes part as stars.
+            known = [found.select(F.col("node").alias("a"), F.col("component").alias("b"))] if found is not None else []
+            found = components(reduce(DataFrame.unionByName, known, fresh), kept, f"components{turn}")
+        elif not last:
+            continue  # no label has changed, so the same lists stay open
         if last:
             return found
         known = open_.drop("label").join(found, F.col("item") == F.col("node"), "left")

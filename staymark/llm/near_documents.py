@@ -5,10 +5,14 @@ set. Texts with the same set are one item from the start. Inverted lists of reta
 values name items that may be similar:
 
 - Two sets of similarity 0.75 share three quarters of their retained values on average,
-  and OVERLAP or more but for a chance of about 1e-9. So it suffices to list an item under
-  its K - OVERLAP + 1 rarest values: two items that share OVERLAP values meet in one of
-  these lists. Values of frequent passages are thereby hardly ever listed. Sets small
-  enough to be retained whole have the exact bound in place of OVERLAP.
+  and OVERLAP or more but for a chance of about 1e-9. The K least values are drawn from the
+  union without return, so they scatter less where they are a good part of it, and more
+  than OVERLAP are shared (``_overlap``); sets that are retained whole have the exact bound.
+  It suffices to list an item under its rarest values, all but as many as must be shared
+  and one more: two similar items meet in one of these lists. Values of frequent passages
+  are thereby hardly ever listed.
+- The hub of a list is the item whose retained values are the most frequent ones: the copy
+  with the fewest changes of its own is similar to the most others.
 - Two items of a list whose sizes or signatures (a few bits of the same hashes) are too
   different for 0.75 are no pair.
 - The sketch of the union of two sets estimates their similarity and drops most pairs.
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staymark.llm.common import Kept, two_columns
@@ -40,7 +44,9 @@ OVERLAP = 42
 WHOLE = K * PERCENT // 100
 # Bits of a signature: one for each of as many parts of the hash range, from the least
 # hash there. Of sets of similarity 0.75 an eighth differ on average, and more than
-# DIFFERENT but for a chance of about 1e-9.
+# DIFFERENT but for a chance of about 1e-9. A bit differs only where a value belongs to one
+# set alone, and at 0.75 those are a seventh of both sizes at most, an exact bound that
+# tells short texts apart, whose signatures are mostly empty.
 BITS = 192
 DIFFERENT = 54
 _SIGNATURE = ("s0", "s1", "s2")
@@ -86,6 +92,16 @@ def sketches(documents: DataFrame) -> DataFrame:
     )
 
 
+def _overlap(union: Column) -> Column:
+    """Least number of the K least values of a union that two sets of similarity 0.75 share.
+
+    The deviation allowed is that of draws with return, times the shrinkage of draws without.
+    """
+    mean = K * PERCENT // 100
+    rest = F.greatest(union - K, F.lit(0)) / F.greatest(union - 1, F.lit(1))
+    return F.floor(mean - (mean - OVERLAP) * F.sqrt(rest))
+
+
 def lists(items: DataFrame) -> DataFrame:
     """key, item, first, about: each item under its rarest retained values that others have
     too."""
@@ -94,32 +110,44 @@ def lists(items: DataFrame) -> DataFrame:
     shared = held.join(often, "key")
     # A group is at most the K values of one item.
     by_item = shared.groupBy("item", "size").agg(
-        F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared")
+        F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared"),
+        F.sum("often").alias("frequent"),
     )
     retained = F.least("size", F.lit(K))
-    need = F.when(F.col("size") <= WHOLE, F.ceil(F.col("size") * PERCENT / 100)).otherwise(OVERLAP)
+    need = F.when(F.col("size") <= WHOLE, F.ceil(F.col("size") * PERCENT / 100)).otherwise(
+        # The union is at most 4/3 of either set.
+        _overlap(F.col("size") * 100 / PERCENT)
+    )
     # Values nobody shares are the rarest and count among those listed.
     room = (retained - need + 1 - (retained - F.size("shared"))).cast("int")
     chosen = F.slice("shared", F.lit(1), F.greatest(room, F.lit(0)))
-    listed = by_item.select(F.explode(chosen).alias("s"), "item").select("s.key", "item")
-    about = items.select(
-        "item", F.col("first_id").alias("first"), F.struct("n", *_SIGNATURE).alias("about")
-    )
+    central = -F.floor(F.col("frequent") / retained)
+    listed = by_item.select(F.explode(chosen).alias("s"), "item", central.alias("first"))
+    listed = listed.select("s.key", "item", "first")
+    about = items.select("item", F.struct("n", *_SIGNATURE).alias("about"))
     return listed.join(about, "item")
 
 
 _DIFFER = " + ".join(f"bit_count(x.about.{s} ^ y.about.{s})" for s in _SIGNATURE)
-FITS = f"4 * least(x.about.n, y.about.n) >= 3 * greatest(x.about.n, y.about.n) AND {_DIFFER} <= {DIFFERENT}"
+FITS = (
+    "4 * least(x.about.n, y.about.n) >= 3 * greatest(x.about.n, y.about.n) "
+    f"AND {_DIFFER} <= least({DIFFERENT}, (x.about.n + y.about.n) div 7)"
+)
+# A comparison of signatures is cheap beside the shuffles of a hub round.
+PAIRS_PER_ENTRY = 512
 
 
 def _estimated(pairs: DataFrame, items: DataFrame) -> DataFrame:
     """Pairs that the sketch of their union lets pass."""
-    sketch = items.select(F.col("item"), F.col("sketch"))
-    met = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
+    sketch = items.select("item", "sketch", "n")
+    met = pairs.join(sketch.toDF("a", "sa", "na"), "a").join(sketch.toDF("b", "sb", "nb"), "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, K)
     common = F.size(F.array_intersect(F.array_intersect("sa", "sb"), "union"))
     met = met.withColumn("union", union)
-    return met.where(common * K >= OVERLAP * F.size("union")).select("a", "b")
+    # At 0.75 the union is at most 4/7 of both sizes together; a whole union tells exactly.
+    most = F.floor((F.col("na") + F.col("nb")) * 100 / (100 + PERCENT))
+    need = F.when(F.size("union") < K, F.size("union") * PERCENT / 100).otherwise(_overlap(most))
+    return met.where(common >= need).select("a", "b")
 
 
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -178,7 +206,7 @@ def near_documents(documents: DataFrame) -> DataFrame:
         texts = kept.write(_texts(documents, wanted), "texts")
         return _verified(passed, texts)
 
-    found = linked(listed, check, kept, FITS)
+    found = linked(listed, check, kept, FITS, PAIRS_PER_ENTRY)
     grouped = items.join(found, items["item"] == found["node"], "left").select(
         "digest", "first_id", F.coalesce("component", "item").alias("component")
     )

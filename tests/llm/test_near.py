@@ -57,7 +57,6 @@ def test_components(spark):
 def test_lists_lose_no_component(spark, monkeypatch, rounds):
     """Links that no single item of a list shares, so that several rounds are needed."""
     monkeypatch.setattr(listed_links, "ROUNDS", rounds)
-    monkeypatch.setattr(listed_links, "PAIRS_PER_ENTRY", 0)
     rng = random.Random(rounds)
     entries = [(rng.randrange(12), i, 1) for i in range(150)]
     together = {(a[1], b[1]) for a in entries for b in entries if a[0] == b[0] and a[1] < b[1]}
@@ -65,7 +64,7 @@ def test_lists_lose_no_component(spark, monkeypatch, rounds):
     links = spark.createDataFrame(sorted(linked), "a long, b long")
     lists = spark.createDataFrame(entries, "key long, item long, about long")
     lists = lists.withColumn("first", F.col("item"))
-    found = listed_links.linked(lists, lambda pairs: pairs.join(links, ["a", "b"]), Kept(spark))
+    found = listed_links.linked(lists, lambda pairs: pairs.join(links, ["a", "b"]), Kept(spark), pairs_per_entry=0)
     groups = Groups(range(150))
     for a, b in linked:
         groups.join(a, b)
