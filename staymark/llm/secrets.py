@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staymark.llm.common import Kept
+from staymark.llm.common import Kept, carried, uncarried
 from staymark.llm.trigrams import required, trigrams
 
 MASK = "[secret]"
@@ -171,10 +171,10 @@ def report(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def redact(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``documents`` with every secret in ``text`` replaced by a mark.
 
-    Overlapping spans have one mark. A null text stays null.
+    Overlapping spans have one mark. A null text stays null. Other columns stay as they
+    are, whatever their names; repeated rows have a row each.
     """
-    was_null = documents["text"].isNull()
-    scanned = scan(documents.withColumn("was_null", was_null), rules)
+    scanned = scan(carried(documents).withColumn("was_null", F.col("text").isNull()), rules)
 
     def step(made: Column, span: Column) -> Column:
         before = F.substring("text", (made["at"] + 1).cast("int"), (span["start"] - made["at"]).cast("int"))
@@ -192,4 +192,5 @@ def redact(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         ),
     )
     text = F.when(~F.col("was_null"), F.when(F.size("spans") > 0, rest).otherwise(F.col("text")))
-    return scanned.withColumn("text", text).select(*documents.columns)
+    columns = uncarried(documents.columns)
+    return scanned.withColumn("text", text).select(*[c.alias(name) for name, c in columns.items()])
