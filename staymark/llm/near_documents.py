@@ -5,9 +5,10 @@ set. Texts with the same set are one item from the start. Inverted lists of reta
 values name items that may be similar:
 
 - Two sets of similarity 0.75 share three quarters of their retained values on average,
-  and OVERLAP or more but for a chance of about 1e-9. The K least values are drawn from the
+  and OVERLAP or more but for a chance below 1e-10. The K least values are drawn from the
   union without return, so they scatter less where they are a good part of it, and more
-  than OVERLAP are shared (``_overlap``); sets that are retained whole have the exact bound.
+  than OVERLAP are shared (``_overlap``). A union of less than K values is retained whole
+  and has the exact bound; sets that may have either union take the lesser one.
   It suffices to list an item under its rarest values, all but as many as must be shared
   and one more: two similar items meet in one of these lists. Values of frequent passages
   are thereby hardly ever listed.
@@ -40,11 +41,9 @@ WIDTH = 5
 PERCENT = 75
 K = 96
 OVERLAP = 42
-# Sets up to this size meet only sets that are retained whole, too.
-WHOLE = K * PERCENT // 100
 # Bits of a signature: one for each of as many parts of the hash range, from the least
 # hash there. Of sets of similarity 0.75 an eighth differ on average, and more than
-# DIFFERENT but for a chance of about 1e-9. A bit differs only where a value belongs to one
+# DIFFERENT but for a chance of about 2e-9. A bit differs only where a value belongs to one
 # set alone, and at 0.75 those are a seventh of both sizes at most, an exact bound that
 # tells short texts apart, whose signatures are mostly empty.
 BITS = 192
@@ -114,10 +113,9 @@ def lists(items: DataFrame) -> DataFrame:
         F.sum("often").alias("frequent"),
     )
     retained = F.least("size", F.lit(K))
-    need = F.when(F.col("size") <= WHOLE, F.ceil(F.col("size") * PERCENT / 100)).otherwise(
-        # The union is at most 4/3 of either set.
-        _overlap(F.col("size") * 100 / PERCENT)
-    )
+    # The union is at least as large as either set and at most 4/3 of it: whole with three
+    # quarters of it shared, or K values of it.
+    need = F.least(F.ceil(F.col("size") * PERCENT / 100), _overlap(F.col("size") * 100 / PERCENT))
     # Values nobody shares are the rarest and count among those listed.
     room = (retained - need + 1 - (retained - F.size("shared"))).cast("int")
     chosen = F.slice("shared", F.lit(1), F.greatest(room, F.lit(0)))

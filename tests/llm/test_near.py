@@ -103,6 +103,23 @@ def test_near_documents(documents, seed):
     assert all(got[i].kept == (groups.find(i) == i) for i in range(250))
 
 
+def test_near_documents_about_as_long_as_a_sketch(documents):
+    """Pairs by themselves, of 60 to 110 words: one and two edits, and tails cut or replaced."""
+    rng, texts, linked = random.Random(4), [], []
+    for n in range(60, 111):
+        for edits, cut in [(1, 0), (2, 0), (2, 0), (0, n // 5), (0, n // 4), (0, -(n // 7)), (1, n // 9)]:
+            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            other = words[: n - cut] if cut >= 0 else [*words[:cut], *[f"t{i}" for i in range(-cut)]]
+            for _ in range(edits):
+                other[rng.randrange(len(other))] = f"e{rng.randrange(10**6)}"
+            texts += [" ".join(words), " ".join(other)]
+            linked.append(similar(*map(shingles, texts[-2:])))
+    rows = near_documents.near_documents(documents(list(enumerate(texts)))).collect()
+    got = {r.doc_id: r.component_id for r in rows}
+    assert [got[2 * i + 1] == 2 * i for i in range(len(linked))] == linked
+    assert 100 < sum(linked) < len(linked)
+
+
 def test_awkward_documents(documents):
     rows = near_documents.near_documents(documents(AWKWARD, extra=True)).collect()
     assert len(rows) == len(AWKWARD)
