@@ -1,11 +1,12 @@
 """Removal of lines that repeat, or nearly repeat, an earlier line.
 
-Lines within an edit distance of THRESHOLD are found by segments: a line is cut into
-THRESHOLD + 1 segments, and whatever is within the distance holds one of them unchanged,
-shifted by no more than the distance. So each line is listed under its own segments, by
-its length and the segment's number, and probes the lists of all lengths within reach with
-those of its substrings that may match there. Lines of one list are then compared, see
-``listed_links``.
+How many edits two lines may differ by follows the length of the shorter one: one for every
+EVERY characters, MOST at most. Such lines are found by segments: a line is cut into one
+more segment than it has edits, and whatever is as long or longer and within the distance
+holds one of them unchanged, shifted by no more than the distance. So each line is listed
+under its own segments, by its length and the segment's number, and probes the lists of
+all lengths within reach with those of its substrings that may match there. Lines of one
+list are then compared, see ``listed_links``.
 """
 
 from __future__ import annotations
@@ -24,11 +25,19 @@ from staymark.llm.listed_links import linked
 from staymark.llm.texts import SECOND_BASE, Chunk, chunks, mix
 from staymark.operators.sizing import broadcast_if_fits
 
-THRESHOLD = 1
+EVERY = 32
+MOST = 8
 # Shorter lines (in characters) are compared for equality alone.
 SHORTEST = 32
 
 
+def allowed(length: np.ndarray, threshold: int | None) -> np.ndarray:
+    """Edits between a line of that length and one as long or longer; by length, if None."""
+    if threshold is None:
+        return np.minimum(length // EVERY, MOST)
+    return np.full_like(length, threshold)
+
+
 def segments(length: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Start and length of each of ``parts`` segments, as even as can be, longer ones last."""
     short, longer = length // parts, length % parts
@@ -41,42 +50,48 @@ def segments(length: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarra
 
 
 def line_keys(
-    codes_hash, starts: np.ndarray, length: np.ndarray, threshold: int
+    codes_hash, starts: np.ndarray, length: np.ndarray, threshold: int | None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(keys, which lines have them, whether they are of the line's own segments).
+    """(which lines, a key of each, whether it is of the line's own segments).
 
     ``starts`` and ``length`` of lines are in code points. The substrings probed are those
-    for which the edits left and right of the segment can add up to the threshold.
+    for which the edits left and right of the segment can add up to those allowed.
     """
 
-    def key(at, size, other, i):
-        salt = (other * (threshold + 1) + i).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
+    def key(at, size, other, edits, i):
+        salt = (other * (edits + 1) + i).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
         return mix(codes_hash.of(at, at + size) ^ mix(salt))
 
-    everything = np.ones(len(length), bool)
-    for i, (start, size) in enumerate(segments(length, threshold + 1)):
-        yield key(starts + start, size, length, i), everything, True
-    for shorter in range(threshold + 1):
-        other = length - shorter  # the length of the lines looked for
-        for i, (start, size) in enumerate(segments(other, threshold + 1)):
-            # Shift s: s edits before the segment and shorter - s after it, at least.
-            # Segment i has i segments before it that all differ, hence i edits or more
-            # (else an earlier segment is shared), and threshold - i at most after it.
-            for shift in range(-threshold, threshold + 1):
-                if abs(shift) + abs(shorter - shift) > threshold:
-                    continue
-                if abs(shift) > i or abs(shorter - shift) > threshold - i:
-                    continue
-                at = start + shift
-                fits = (at >= 0) & (at + size <= length) & (other >= SHORTEST)
-                at = np.where(fits, starts + at, starts)
-                yield key(at, np.where(fits, size, 0), other, i), fits, False
-
-
-def _lines(documents: DataFrame, threshold: int) -> DataFrame:
+    for edits in range(MOST + 1) if threshold is None else [threshold]:
+        for shorter in range(edits + 1):
+            # The lines looked for are that much shorter, and theirs are the edits allowed.
+            reach = (length - shorter >= SHORTEST) & (allowed(length - shorter, threshold) == edits)
+            which = np.flatnonzero(reach)
+            if not len(which):
+                continue
+            start_of, mine = starts[which], length[which]
+            other = mine - shorter
+            for i, (start, size) in enumerate(segments(other, edits + 1)):
+                if not shorter:
+                    yield which, key(start_of + start, size, other, edits, i), True
+                # Shift s: s edits before the segment and shorter - s after it, at least.
+                # Segment i has i segments before it that all differ, hence i edits or more
+                # (else an earlier segment is shared), and edits - i at most after it.
+                for shift in range(-edits, edits + 1):
+                    if abs(shift) + abs(shorter - shift) > edits:
+                        continue
+                    if abs(shift) > i or abs(shorter - shift) > edits - i:
+                        continue
+                    at = start + shift
+                    fits = (at >= 0) & (at + size <= mine)
+                    found = key((start_of + at)[fits], size[fits], other[fits], edits, i)
+                    yield which[fits], found, False
+
+
+def _lines(documents: DataFrame, threshold: int | None) -> DataFrame:
     """One row per line with a word: document, number, hash, characters, keys.
 
-    The last two columns are null for lines too short to be compared.
+    The last two columns are empty for lines too short to be compared.
     """
 
     def columns(chunk: Chunk):
@@ -89,22 +104,24 @@ def _lines(documents: DataFrame, threshold: int) -> DataFrame:
         length = chunk.code_point_at(ends) - at
         low = chunk.hashes().of(starts, ends)
         high = chunk.hashes(SECOND_BASE).of(starts, ends) ^ length.astype(np.uint64)
-        long = length >= SHORTEST
+        long = np.flatnonzero(length >= SHORTEST)
         codes = Chunk(0, chunk.code_points(), chunk.offsets).hashes()
         own, probes = [], []
-        for keys, have, is_own in line_keys(codes, at[long], length[long], threshold):
-            (own if is_own else probes).append(np.where(have, keys.astype(np.int64), 0))
-        return text, number[filled], low, high, length, long, own, probes
-
-    def nested(parts: list[np.ndarray], long: np.ndarray) -> pa.Array:
-        ends = np.concatenate([[0], np.cumsum(np.where(long, len(parts), 0))]).astype(np.int32)
-        values = np.stack(parts, 1).ravel() if parts else np.zeros(0, np.int64)
+        for which, keys, is_own in line_keys(codes, at[long], length[long], threshold):
+            (own if is_own else probes).append((long[which], keys.astype(np.int64)))
+        return text, number[filled], low, high, length, own, probes
+
+    def nested(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> pa.Array:
+        none = np.zeros(0, np.int64)
+        line = np.concatenate([none, *[which for which, _ in parts]])
+        values = np.concatenate([none, *[keys for _, keys in parts]])[np.argsort(line, kind="stable")]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=n))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column(2)):
-                text, number, low, high, length, long, own, probes = columns(chunk)
+                text, number, low, high, length, own, probes = columns(chunk)
                 rows = pa.array(chunk.first + text)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -114,8 +131,8 @@ def _lines(documents: DataFrame, threshold: int) -> DataFrame:
                         pa.array(low.astype(np.int64)),
                         pa.array(high.astype(np.int64)),
                         pa.array(length, pa.int32()),
-                        nested(own, long),
-                        nested(probes, long),
+                        nested(own, len(text)),
+                        nested(probes, len(text)),
                     ],
                     names=["doc_id", "text_hash", "number", "low", "high", "size", "own", "probes"],
                 )
@@ -136,7 +153,7 @@ def _lists(items: DataFrame) -> DataFrame:
         keys = items.select(
             F.explode(column).alias("key"), "item", F.col("place.doc_id").alias("first"), F.col("size").alias("about")
         )
-        return keys.where("key <> 0").withColumn("own", F.lit(own))
+        return keys.withColumn("own", F.lit(own))
 
     rows = of("own", True).unionByName(of("probes", False))
     useful = rows.groupBy("key").agg(
@@ -156,21 +173,25 @@ def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.select("item", line.alias("line")).groupBy("item").agg(F.min("line").alias("line"))
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, threshold: int) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, threshold: int | None) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            near = [within(x, y, threshold) for x, y in zip(frame["x"], frame["y"], strict=True)]
+            shorter = np.minimum(frame["x"].str.len(), frame["y"].str.len()).to_numpy(np.int64)
+            edits = allowed(shorter, threshold).tolist()
+            near = [within(x, y, k) for x, y, k in zip(frame["x"], frame["y"], edits, strict=True)]
             yield frame[near][["a", "b"]]
 
     both = pairs.join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b")
     return both.mapInPandas(run, "a long, b long")
 
 
-def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, kept: Kept | None = None) -> DataFrame:
+def repeated_lines(
+    documents: DataFrame, threshold: int | None = None, kept: Kept | None = None
+) -> DataFrame:
     """doc_id, text_hash, number, near of every line to remove.
 
-    Equal lines, and lines of SHORTEST characters or more within ``threshold`` edits, are
-    linked; of each component the line of the smallest (doc_id, number) stays. Rows without
+    Equal lines, and lines of SHORTEST characters or more within ``threshold`` edits (those
+    that ``allowed`` gives for the shorter one's length, if None), are linked; of each component the line of the smallest (doc_id, number) stays. Rows without
     doc_id come last. Blank lines (ASCII white space only) are never removed. Rows that
     share a doc_id count as one document, so the same line number of such rows is not a
     repetition. ``near`` tells removed lines that equal no line that stays.
@@ -195,7 +216,8 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, kept: Kept
         found = kept.write(_texts_of(documents, ends.join(places, "item")), "texts")
         return _verified(pairs, found, threshold)
 
-    found = linked(listed, check, kept, f"abs(x.about - y.about) <= {threshold}")
+    most = f"least(least(x.about, y.about) div {EVERY}, {MOST})" if threshold is None else threshold
+    found = linked(listed, check, kept, f"abs(x.about - y.about) <= {most}")
     grouped = items.join(found, items["item"] == found["node"], "left").select(
         "low", "high", "place", F.coalesce("component", "item").alias("component")
     )
@@ -214,7 +236,7 @@ def repeated_lines(documents: DataFrame, threshold: int = THRESHOLD, kept: Kept
     )
 
 
-def remove_repeated_lines(documents: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def remove_repeated_lines(documents: DataFrame, threshold: int | None = None) -> DataFrame:
     """``documents`` with repeated lines taken out of their texts.
 
     Columns of the input stay (text_hash, drops and n_near are replaced, if it has them),

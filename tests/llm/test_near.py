@@ -195,6 +195,33 @@ def test_lines(documents, threshold):
     assert {(r.doc_id, r.number) for r in got} == removed_lines(rows, threshold)
 
 
+def test_lines_within_edits_that_follow_their_length(documents):
+    rng = random.Random(7)
+
+    def most(*lines):
+        return min(near_lines.MOST, min(map(len, lines)) // near_lines.EVERY)
+
+    base = ["".join(rng.choice("abcdé ñ日") for _ in range(n)) for n in [*range(30, 340, 10), 64, 96, 600]]
+    lines = []
+    for line in base:
+        for edits in {0, 1, most(line), most(line) + 1, most(line) + 3}:
+            other = list(line)
+            for i in rng.sample(range(len(other)), edits):
+                other[i] = rng.choice(["", "x", "xy", "é"])
+            lines.append("".join(other))
+        at = rng.randrange(len(line) - 8)
+        lines.append(line[:at] + line[at + 8 :])  # a word dropped
+    rng.shuffle(lines)
+    groups = Groups(range(len(lines)))
+    for i, x in enumerate(lines):
+        for j, y in enumerate(lines[:i]):
+            if x == y or (min(len(x), len(y)) >= near_lines.SHORTEST and within(x, y, most(x, y))):
+                groups.join(i, j)
+    got = near_lines.repeated_lines(documents(list(enumerate(lines)))).collect()
+    assert {r.doc_id for r in got} == {i for i in range(len(lines)) if groups.find(i) != i}
+    assert all(most(x) == k for x, k in (("x" * 32, 1), ("x" * 64, 2), ("x" * 999, 8)))
+
+
 def test_awkward_lines(documents):
     source = documents([*AWKWARD, (10, "short\nshort\n\nother"), (None, "short")], extra=True)
     rows = near_lines.remove_repeated_lines(source).collect()
