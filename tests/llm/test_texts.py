@@ -100,6 +100,18 @@ def test_quality(spark, documents):
     assert not any(got[i].kept for i, _ in bad)
 
 
+def test_toxic_texts_of_good_quality_do_not_lower_the_threshold(spark, documents):
+    rng = random.Random(4)
+    clean = [(i, text_of(rng, "aa", rng.randint(60, 90))) for i in range(100)]
+    toxic = [(i, text_of(rng, "bb", rng.randint(60, 90))) for i in range(100, 140)]
+    poor = [(i, "$ % " + text_of(rng, "cc", rng.randint(60, 90))) for i in range(140, 180)]
+    labels = labels_of(spark, [(i, int(i < 140), int(100 <= i < 140)) for i in range(0, 180, 2)])
+    df = documents(clean + toxic + poor)
+    got = {r.doc_id: r for r in quality.judge(df, quality.fit(df, labels)).collect()}
+    assert not any(got[i].kept for i in range(100, 180))
+    assert sum(got[i].kept for i in range(100)) >= 95
+
+
 def test_score_is_the_mean_log_ratio(spark, documents):
     texts = {1: "abcde abc " * 20, 2: "xyz abc xyz " * 20, 3: "ab"}
     df = documents(list(texts.items()))
