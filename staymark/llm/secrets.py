@@ -42,11 +42,12 @@ BASE = (
 )
 MORE = (
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("code_host_long", r"github_pat_[A-Za-z0-9_]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("login_url", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("login_url", r"://[^\s/:@]+:[^\s/:@]{3,}@"),
 )
 RULES = (*BASE, *MORE)
 

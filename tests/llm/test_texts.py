@@ -202,6 +202,15 @@ def test_awkward_secrets(documents):
     assert texts == Counter(gone)
 
 
+def test_long_secrets_are_whole(documents):
+    """Long passwords in URLs, and code-host tokens of the long form."""
+    word, token = "aB3-" * 30, "github_pat_" + "a1B2_" * 16
+    rows = [(1, f"go https://user:{word}@host.org/x"), (2, f"go https://{word}:{word}@host.org/x"), (3, f"key {token}.")]
+    got = {r.doc_id: r.text for r in secrets.redact(documents(rows)).collect()}
+    assert not any(word in text or token in text for text in got.values())
+    assert (got[1], got[3]) == (f"go https{secrets.MASK}host.org/x", f"key {secrets.MASK}.")
+
+
 def test_patterns_without_trigrams_search_everything(documents):
     assert required(r"[0-9a-f]{16,}") == []
     assert all(len(s) >= 3 for r in secrets.RULES for c in required(r.pattern) for s in c)
