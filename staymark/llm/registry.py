@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staymark.llm import (
+    conversations,
     language,
     near_documents,
     near_lines,
@@ -106,8 +107,13 @@ def op10_near_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op13_conversations(spark: SparkSession, directory: str) -> DataFrame:
+    given = table(spark, directory, "conversations")
+    return conversations.repair(given, conversations.damage(given))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op7_url_lists, op8_secrets, op9_word_bpe, op10_near_lines)}
+    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op7_url_lists, op8_secrets, op9_word_bpe, op10_near_lines, op13_conversations)}
 
 
 def oracle_sql() -> dict[str, str]:
