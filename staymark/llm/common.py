@@ -50,3 +50,30 @@ class Kept:
         for label in labels:
             if label in self.paths:
                 delete_folder(self.spark, self.paths.pop(label))
+
+
+# Keys that hold at least one of so many rows are looked up in a broadcast.
+FREQUENT = 1000
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """``rows`` with the row of ``counted`` of their keys (NULL equals NULL), without ``count``.
+
+    ``counted`` has one row for each key of ``rows`` and how many rows hold it. Keys of at
+    least a thousandth of all rows are at most a thousand: these are broadcast, however large
+    the tables are. The rest is shuffled, and none of its keys is frequent. Both are
+    read more than once, so pass written tables.
+    """
+    total = counted.agg(F.sum(count).alias("total")).first()["total"] or 0
+    names = {k: f"_key_{k}" for k in keys}
+    renamed = counted.withColumnsRenamed(names)
+    frequent = F.col(count) * FREQUENT >= total
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        return left.join(right, [F.col(k).eqNullSafe(F.col(name)) for k, name in names.items()], how)
+
+    hot = F.broadcast(renamed.where(frequent))
+    found = joined(rows, hot, "inner").unionByName(
+        joined(joined(rows, hot, "left_anti"), renamed.where(~frequent), "inner")
+    )
+    return found.drop(count, *names.values())

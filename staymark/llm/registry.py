@@ -20,6 +20,7 @@ from staymark.llm import (
     sql,
     token_files,
     url_lists,
+    vector_codes,
     word_bpe,
 )
 from staymark.llm.byte_bpe import id_type
@@ -107,14 +108,18 @@ def op10_near_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, directory: str) -> DataFrame:
+    return vector_codes.compress(table(spark, directory, "embeddings"))
+
+
 def op13_conversations(spark: SparkSession, directory: str) -> DataFrame:
     given = table(spark, directory, "conversations")
     return conversations.repair(given, conversations.damage(given))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op7_url_lists, op8_secrets, op9_word_bpe, op10_near_lines, op13_conversations)}
+    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op7_url_lists, op8_secrets, op9_word_bpe, op10_near_lines, op11_vector_codes, op13_conversations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_lists": sql.URL_LISTS, "op8_secrets": sql.SECRETS}
+    return {"op7_url_lists": sql.URL_LISTS, "op8_secrets": sql.SECRETS, "op11_vector_codes": sql.VECTOR_CODES}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from staymark.llm.secrets import BASE, RULES, Rule
+from staymark.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
@@ -82,3 +83,45 @@ SELECT t.doc_id, {", ".join(f"count(*) FILTER (number = {i}) AS n_{r.kind}" for
   coalesce(string_agg({_TEXT}, ',' ORDER BY s.start, number), '') AS spans
 FROM texts t LEFT JOIN spans p ON p.row = t.row GROUP BY t.row, t.doc_id
 """
+
+
+def _assigned(codebook: str) -> str:
+    """Nearest entry of each part, the lowest of equal ones, and its distance."""
+    return f"""
+      SELECT vec_id, label, part, x, min({{'far': far, 'entry': entry}}) AS nearest FROM (
+        SELECT p.*, c.entry, list_sum(list_transform(p.x, lambda a, i: (a - c.y[i]) * (a - c.y[i])))::BIGINT AS far
+        FROM parts p JOIN {codebook} c USING (part)) GROUP BY ALL"""
+
+
+def _moved(number: int) -> str:
+    """A round: entries move to the floor of the mean of the parts assigned to them."""
+    old = f"book{number - 1}"
+    return f"""assigned{number} AS ({_assigned(old)}),
+    means{number} AS (
+      SELECT part, entry, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY i) AS y FROM (
+        SELECT part, nearest.entry AS entry, i, sum(v)::BIGINT AS s, count(*) AS n FROM (
+          SELECT part, nearest, unnest(x) AS v, unnest(range(1, len(x) + 1)) AS i FROM assigned{number}) GROUP BY ALL
+      ) GROUP BY part, entry),
+    book{number} AS (SELECT part, o.entry, coalesce(m.y, o.y) AS y FROM {old} o LEFT JOIN means{number} m USING (part, entry))"""
+
+
+VECTOR_CODES = f"""
+WITH vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, label, part, e[part * len(e) // {PARTS} + 1 : (part + 1) * len(e) // {PARTS}] AS x
+  FROM (SELECT *, unnest(range({PARTS})) AS part FROM vectors)
+), first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM vectors ORDER BY vec_id LIMIT {ENTRIES}),
+book0 AS (SELECT part, entry, x AS y FROM parts JOIN first USING (vec_id)),
+{", ".join(_moved(i + 1) for i in range(ROUNDS))},
+final AS ({_assigned(f"book{ROUNDS}")}),
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', nearest.entry), '' ORDER BY part) AS code, sum(nearest.far)::BIGINT AS error
+  FROM final GROUP BY vec_id, label
+), told AS (
+  SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256 FROM (
+    SELECT part, entry, unnest(y) AS v, unnest(range(1, len(y) + 1)) AS i FROM book{ROUNDS})
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded, told
+"""
