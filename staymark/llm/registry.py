@@ -16,6 +16,7 @@ from staymark.llm import (
     near_vectors,
     packing,
     quality,
+    repeats,
     secrets,
     sql,
     token_files,
@@ -112,13 +113,17 @@ def op11_vector_codes(spark: SparkSession, directory: str) -> DataFrame:
     return vector_codes.compress(table(spark, directory, "embeddings"))
 
 
+def op12_repeats(spark: SparkSession, directory: str) -> DataFrame:
+    return repeats.report(table(spark, directory, "documents"))
+
+
 def op13_conversations(spark: SparkSession, directory: str) -> DataFrame:
     given = table(spark, directory, "conversations")
     return conversations.repair(given, conversations.damage(given))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op7_url_lists, op8_secrets, op9_word_bpe, op10_near_lines, op11_vector_codes, op13_conversations)}
+    return {f.__name__: f for f in (op1_pack, op2_language, op3_near_documents, op4_near_vectors, op5_token_files, op6_quality, op7_url_lists, op8_secrets, op9_word_bpe, op10_near_lines, op11_vector_codes, op12_repeats, op13_conversations)}
 
 
 def oracle_sql() -> dict[str, str]:
