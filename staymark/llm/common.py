@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,19 @@ class Kept:
         self.paths[label] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_bucketed(self, df: DataFrame, label: str, key: str) -> DataFrame:
+        """Like ``write``, dealt to as many buckets by ``key`` as a shuffle has partitions: later
+        joins by it shuffle their other side alone, however often and large ``df`` is."""
+        path, name = new_folder(self.spark, label), f"staymark_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        writer.option("path", path).saveAsTable(name)
+        self.drop(label)
+        self.paths[label] = path
+        bucketed = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # its files stay, and so does what is read
+        return bucketed
+
     def drop(self, *labels: str) -> None:
         for label in labels:
             if label in self.paths:
