@@ -93,9 +93,17 @@ def fit(sample: np.ndarray, total: int) -> Forest:
     return Forest(directions, borders, SPILL / np.sqrt(sample.shape[1]))
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
+def _scaled(vectors: pd.Series) -> np.ndarray:
+    """Vectors times powers of two, which change no cosine, such that the largest component of
+    each is near one and no square of it leaves the range of doubles."""
     stacked = np.stack(vectors.to_numpy()).astype(np.float64)
-    return stacked / np.linalg.norm(stacked, axis=1, keepdims=True)
+    exponents = np.frexp(np.abs(stacked).max(axis=1, keepdims=True))[1]
+    return np.ldexp(stacked, -exponents)
+
+
+def _unit(vectors: pd.Series) -> np.ndarray:
+    scaled = _scaled(vectors)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def _placed(items: DataFrame, forests: dict[int, Forest]) -> DataFrame:
@@ -139,10 +147,9 @@ def _compared(placed: DataFrame, cosine: float) -> DataFrame:
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("item", ignore_index=True)
-        vectors = np.stack(frame["embedding"].to_numpy()).astype(np.float64)
+        vectors = _scaled(frame["embedding"])
         norms = np.linalg.norm(vectors, axis=1)
-        with np.errstate(over="ignore", invalid="ignore"):
-            near = (vectors @ vectors.T) / np.outer(norms, norms) >= cosine
+        near = (vectors @ vectors.T) / np.outer(norms, norms) >= cosine
         own = frame["own"].to_numpy()
         if frame["one"].iloc[0] != frame["two"].iloc[0]:
             near &= own[:, None] != own[None, :]

@@ -295,3 +295,15 @@ def test_awkward_vectors(spark):
     want += [(1, 4, 1, True), (2, 4, 1, False), (None, 4, 1, False), (12, 4, 1, False), (12, 4, 1, False)]
     assert got == sorted(want, key=str)
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_vectors_of_any_magnitude(spark):
+    """Cosines do not depend on length, also where squares leave the range of doubles."""
+    rows = [
+        (1, [1e-200, 1e-200], 1), (2, [2e-200, 2e-200], 1), (3, [1e200, 1e200], 1), (4, [1e308, 1e308], 1),
+        (5, [5e-324, 5e-324], 1), (6, [1.0, 1.0], 1), (7, [1e200, -1e200], 1), (8, [1e-200, -1e-200], 1),
+        (9, [1e308, 1e-308], 1),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(df).collect()}
+    assert got == {i: (5, 1) for i in range(1, 7)} | {7: (1, 7), 8: (1, 7), 9: (0, 9)}
