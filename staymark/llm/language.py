@@ -22,10 +22,13 @@ from pyspark.sql import functions as F
 from staymark.llm.common import two_columns
 
 UNKNOWN = "und"
-# Bounds of what is learned: texts per language, bytes of one text, and, per language,
-# dictionaries and bytes of one dictionary.
+# Bounds of what is learned: texts per language, bytes of one text, bytes of all languages
+# together, and, per language, dictionaries and bytes of one dictionary. Of a longer
+# text a passage of PASSAGE characters may be learned from.
 SAMPLE_TEXTS = 400
 SAMPLE_BYTES = 20_000
+SAMPLE_TOTAL = 64 << 20
+PASSAGE = SAMPLE_BYTES // 4
 DICTIONARIES = 2
 DICTIONARY_BYTES = 128 * 1024
 LEVEL = 3
@@ -44,29 +47,42 @@ def learn(documents: DataFrame) -> Model:
     """Dictionaries from rows with text and lang: a bounded sample of each language.
 
     The sample are the texts with the smallest hashes, so it does not depend on order or
-    partitions, and copies of a text count once. The number of texts read by the driver is
-    bounded by SAMPLE_TEXTS for each language.
+    partitions, and copies of a text count once. Texts of up to SAMPLE_BYTES come first; where
+    a language has too few of them, passages of longer ones follow, from a place that the hash
+    draws. The texts read by the driver are bounded by SAMPLE_TEXTS for each language
+    and SAMPLE_TOTAL for all.
     """
-    known = documents.select("text", "lang", F.xxhash64("text").alias("h")).where(
-        F.col("lang").isNotNull() & (F.octet_length("text").between(1, SAMPLE_BYTES))
+    spare = F.char_length("text") - PASSAGE + 1
+    place = F.pmod("h", F.greatest(spare, F.lit(1))).cast("int") + 1
+    known = (
+        documents.select("text", "lang", F.xxhash64("text").alias("h"))
+        .where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+        .withColumn("long", F.octet_length("text") > SAMPLE_BYTES)
+        .withColumn("text", F.when(F.col("long"), F.substring("text", place, F.lit(PASSAGE))).otherwise(F.col("text")))
     )
-    sizes = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
-    if not sizes:
+    counted = known.groupBy("lang", "long").agg(F.approx_count_distinct("h").alias("n")).collect()
+    if not counted:
         return {}
+    languages = sorted({r["lang"] for r in counted})
+    most = max(1, min(SAMPLE_TEXTS, SAMPLE_TOTAL // (2 * SAMPLE_BYTES * len(languages))))
+    short = {r["lang"]: r["n"] for r in counted if not r["long"]}
     # Twice as many hashes as wanted lie below the limit, whatever the size of a language.
     limits = {
-        r["lang"]: (1 << 63) - 1
-        if r["n"] <= 2 * SAMPLE_TEXTS
-        else int((2.0 * SAMPLE_TEXTS / r["n"] * 2 - 1) * (1 << 63))
-        for r in sizes
+        f"{'true' if r['long'] else 'false'} {r['lang']}": -(1 << 63)
+        if r["long"] and short.get(r["lang"], 0) >= 2 * most
+        else (1 << 63) - 1
+        if r["n"] <= 2 * most
+        else int((2.0 * most / r["n"] * 2 - 1) * (1 << 63))
+        for r in counted
     }
-    limit = F.create_map(*[F.lit(x) for lang in sorted(limits) for x in (lang, limits[lang])])
-    drawn = known.where(F.col("h") <= limit[F.col("lang")])
-    rows = drawn.groupBy("lang", "h").agg(F.min("text").alias("text")).collect()
-    texts: dict[str, list[tuple[int, str]]] = {}
+    limit = F.create_map(*[F.lit(x) for name in sorted(limits) for x in (name, limits[name])])
+    name = F.concat_ws(" ", F.col("long").cast("string"), "lang")
+    drawn = known.where(F.col("h") <= limit[name])
+    rows = drawn.groupBy("lang", "long", "h").agg(F.min("text").alias("text")).collect()
+    texts: dict[str, list[tuple[bool, int, str]]] = {lang: [] for lang in languages}
     for row in rows:
-        texts.setdefault(row["lang"], []).append((row["h"], row["text"]))
-    return {lang: dictionaries(t for _, t in sorted(texts[lang])[:SAMPLE_TEXTS]) for lang in sorted(texts)}
+        texts[row["lang"]].append((row["long"], row["h"], row["text"]))
+    return {lang: dictionaries(t for _, _, t in sorted(texts[lang])[:most]) for lang in languages}
 
 
 def dictionaries(texts: Iterator[str]) -> list[bytes]:
@@ -84,6 +100,11 @@ def plain(text: str) -> str:
     return _OTHER.sub(" ", text.lower())
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numbers that are words' characters are none."""
+    return any(found[0].isalpha() for found in _LETTER.finditer(text))
+
+
 class Identifier:
     """Language of texts, by the dictionaries of a model."""
 
@@ -112,7 +133,7 @@ class Identifier:
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score from 0 to 1, rejected)."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
         sizes = self.sizes(text)
         order = np.argsort(sizes, kind="stable")

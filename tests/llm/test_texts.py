@@ -10,6 +10,7 @@ import re
 from collections import Counter
 
 import pytest
+import zstandard
 
 from staymark.llm import language, quality, secrets, url_lists
 from staymark.llm.trigrams import required
@@ -259,3 +260,55 @@ def test_url_lists(spark):
     assert all(by_id[key].entry is None and by_id[key].kept for key in (300, 301, 302))
     assert url_lists.judge(captures.limit(0), lists).count() == 0
     assert all(r.kept for r in url_lists.judge(captures, lists.limit(0)).collect())
+
+
+def test_language_of_long_texts_alone(documents):
+    """A language that only has long texts is learned from passages of them."""
+    rng = random.Random(4)
+    rows = [(i, text_of(rng, "aa", 60), "aa", "s", 1) for i in range(40)]
+    rows += [(100 + i, text_of(rng, "cc", 4000), "cc", "s", 1) for i in range(8)]
+    assert all(len(r[1].encode()) > language.SAMPLE_BYTES for r in rows if r[2] == "cc")
+    df = documents(rows)
+    model = language.learn(df)
+    assert sorted(model) == ["aa", "cc"]
+    new = [(i, text_of(rng, lang, 30)) for i, lang in enumerate(["aa", "cc"] * 10)]
+    found = {r.doc_id: r.lang_pred for r in language.identify(documents(new), model).collect()}
+    assert found == {i: lang for i, lang in enumerate(["aa", "cc"] * 10)}
+
+
+@pytest.mark.parametrize("text", ["² ½ 7", "Ⅷ", "①②", "123 __ !?"])
+def test_numbers_are_no_letters(documents, text):
+    rng = random.Random(5)
+    model = language.learn(documents([(i, text_of(rng, "aa", 30), "aa", "s", 1) for i in range(9)]))
+    found = language.identify(documents([(1, text), (2, text + " ª")]), model).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "und", 2: "aa"}
+
+
+def test_language_agrees_with_plain_compression(documents):
+    """Predictions by a loop over zstandard, over the same dictionaries."""
+    rng = random.Random(6)
+    rows = [(i, text_of(rng, lang, 50), lang, "s", 1) for i in range(90) for lang in [sorted(WORDS)[i % 3]]]
+    model = language.learn(documents(rows))
+    asked = [(i, " ".join(text_of(rng, lang, rng.randrange(1, 9)) for lang in rng.choices(sorted(WORDS), k=2))) for i in range(60)]
+    asked += [(60, text_of(rng, "bb", 30_000)), (61, "zq"), (62, "LOREM, kala! 42")]
+    got = {r.doc_id: r for r in language.identify(documents(asked), model).collect()}
+    narrow = 0
+    for i, text in asked:
+        raw = re.sub(r"[\W\d_]+", " ", text.lower()).encode()
+        parts = [raw[k : k + 98_304] for k in range(0, len(raw), 98_304)]
+        sizes = {}
+        for lang, contents in model.items():
+            total = 0
+            for content in contents:
+                d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                d.precompute_compress(level=3)
+                c = zstandard.ZstdCompressor(dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False)
+                total += sum(len(c.compress(p)) for p in parts)
+            sizes[lang] = total / len(contents)
+        order = sorted(sizes, key=lambda lang: (sizes[lang], lang))
+        best, second = (sizes[lang] for lang in order[:2])
+        assert got[i].lang_pred == order[0]
+        assert got[i].rejected == (second - best < 0.002 * best)
+        assert abs(got[i].score - 1 / sum(math.exp(best - s) if s - best < 700 else 0.0 for s in sizes.values())) < 1e-9
+        narrow += got[i].rejected
+    assert 0 < narrow < 40
