@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +20,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-# Odd multiplier of the polynomial hash modulo 2^64, and its inverse there.
-_BASE = 0x9E3779B97F4A7C15
-SECOND_BASE = 0xC2B2AE3D27D4EB4F
+# The field of the polynomial hashes, and the seeds that their bases are drawn from: two bases
+# for each hash. A power of two as modulus would make some strings of any two letters equal
+# under every base, however long.
+_PRIME = (1 << 31) - 1
+_BASE = 20_240_601
+SECOND_BASE = 20_240_602
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -32,14 +35,46 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo the prime, by folding its high bits onto its low ones."""
+    prime, bits = np.uint64(_PRIME), np.uint64(31)
+    x = (x & prime) + (x >> bits)
+    x = (x & prime) + (x >> bits)
+    x = (x & prime) + (x >> bits)
+    return np.where(x >= prime, x - prime, x)
+
+
+def _run(base: int, size: int) -> np.ndarray:
+    """base ** i modulo the prime, for i below ``size``, doubled up from the first."""
+    powers = np.ones(size, np.uint64)
+    done = 1
+    while done < size:
+        more = min(done, size - done)
+        powers[done : done + more] = _reduced(powers[:more] * np.uint64(pow(base, done, _PRIME)))
+        done += more
+    return powers
+
+
 @cache
-def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    def run(base: int) -> np.ndarray:
-        factors = np.full(size, base, np.uint64)
-        factors[0] = 1
-        return np.multiply.accumulate(factors)
+def _bases(seed: int) -> list[int]:
+    rng = np.random.default_rng(seed)
+    return [int(b) for b in rng.integers(1 << 20, _PRIME - 1, 2)]
+
 
-    return run(base), run(pow(base, -1, 1 << 64))
+def _made_powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    return _run(base, size), _run(pow(base, -1, _PRIME), size)
+
+
+_kept_powers = lru_cache(maxsize=8)(_made_powers)
+
+
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse. Those of usual sizes are kept, those that a
+    very long text needs are not."""
+    if size > 2 * CHUNK_BYTES:
+        return _made_powers(base, size)
+    power, inverse = _kept_powers(base, 1 << max(16, (size - 1).bit_length()))
+    return power[:size], inverse[:size]
 
 
 @dataclass
@@ -58,8 +93,8 @@ class Chunk:
         """A-Z as a-z, everything else as it is."""
         return Chunk(self.first, _LOWER[self.data], self.offsets)
 
-    def hashes(self, base: int = _BASE) -> RangeHash:
-        return RangeHash(self.data, base)
+    def hashes(self, seed: int = _BASE) -> RangeHash:
+        return RangeHash(self.data, seed)
 
     def code_points(self) -> np.ndarray:
         """Code points of the texts, one after another."""
@@ -110,16 +145,25 @@ class Spans:
 
 
 class RangeHash:
-    """64-bit hashes of any ranges of an array, each in constant time."""
-
-    def __init__(self, data: np.ndarray, base: int = _BASE):
-        # Sizes are rounded up, so few tables of powers are made.
-        power, self._inverse = _powers(max(1 << 16, 1 << int(len(data)).bit_length()), base)
-        self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self._sums[1:])
+    """62-bit hashes of any ranges of an array, each in constant time: two polynomials modulo a
+    prime, so ranges that differ are seldom equal, whatever they hold."""
+
+    def __init__(self, data: np.ndarray, seed: int = _BASE):
+        values, size = data.astype(np.uint64) + np.uint64(1), len(data)
+        wide = data.dtype.itemsize > 1 or size > 1 << 22  # sums would leave 64 bits
+        self._parts = []
+        for base in _bases(seed):
+            power, inverse = _powers(base, size + 1)
+            terms = values * power[:size]
+            sums = np.zeros(size + 1, np.uint64)
+            np.cumsum(_reduced(terms) if wide else terms, out=sums[1:])
+            self._parts.append((sums, inverse))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._sums[ends] - self._sums[starts]) * self._inverse[starts])
+        found = [
+            _reduced(_reduced(sums[ends] - sums[starts]) * inverse[starts]) for sums, inverse in self._parts
+        ]
+        return mix((found[0] << np.uint64(31)) | found[1])
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:

@@ -1,0 +1,69 @@
+"""Strings made to collide, seldom sizes, and hashes against plain arithmetic."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import corpus_pipeline
+from staymark.llm import near_documents, near_lines, quality, texts
+
+
+def alternating(letters, size):
+    """A string and its complement that polynomials modulo a power of two take for equal."""
+    flips = [bin(i).count("1") % 2 for i in range(size)]
+    return "".join(letters[b] for b in flips), "".join(letters[1 - b] for b in flips)
+
+
+PAIRS = [alternating(*p) for p in (("ab", 1024), ("01", 2048), ("AT", 4096), (".#", 1024), ("xé", 1024))]
+
+
+@pytest.mark.parametrize("data", [np.arange(300, dtype=np.uint8), np.arange(900_000, 900_400, dtype=np.uint32)])
+def test_range_hashes_are_polynomials(data):
+    prime, (one, two) = texts._PRIME, texts._bases(texts._BASE)
+    starts, ends = np.array([0, 5, 17, 250, 299]), np.array([300, 5, 200, 299, 300])
+    want = []
+    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+        h = [sum((int(x) + 1) * pow(b, i, prime) for i, x in enumerate(data[s:e])) % prime for b in (one, two)]
+        want.append(h[0] << 31 | h[1])
+    got = texts.RangeHash(data).of(starts, ends)
+    assert (got == texts.mix(np.array(want, np.uint64))).all()
+
+
+def test_ranges_do_not_depend_on_their_place():
+    word = np.frombuffer(b"some words of a line", np.uint8)
+    long = np.concatenate([np.zeros(5 << 20, np.uint8), word])  # beyond the tables that are kept
+    at = np.array([len(long) - len(word)])
+    whole = np.array([len(word)])
+    assert texts.RangeHash(long).of(at, at + len(word)) == texts.RangeHash(word).of(np.array([0]), whole)
+
+
+def test_made_strings_differ():
+    for one, two in PAIRS:
+        chunk = next(texts.chunks(pa.array([f"{one}\n{two}"])))
+        for seed in (texts._BASE, texts.SECOND_BASE):
+            words = chunk.words()
+            assert len(set(chunk.hashes(seed).of(words.starts, words.ends).tolist())) == 2
+
+
+def test_made_lines_are_not_equal(documents):
+    rows = [(i, f"{one}\n{two}") for i, (one, two) in enumerate(PAIRS)]
+    assert all(r.n_removed == 0 for r in near_lines.remove_repeated_lines(documents(rows)).collect())
+    batch = pa.array([text for _, text in rows])
+    counted = [quality._base(chunk) for chunk in texts.chunks(batch)]
+    assert sum(c["n_dup_lines"].sum() for c in counted) == 0
+
+
+def test_made_documents_are_not_linked(documents):
+    rows = [(2 * i + side, " ".join([pair[side]] * 12)) for i, pair in enumerate(PAIRS) for side in (0, 1)]
+    found = near_documents.near_documents(documents(rows)).collect()
+    assert all(r.kept and r.component_id == r.doc_id for r in found) and len(found) == len(rows)
+
+
+def test_stages_keep_made_strings(spark, documents, tmp_path):
+    stages = dict(corpus_pipeline.STAGES)
+    rows = [(2 * i + side, pair[side]) for i, pair in enumerate(PAIRS) for side in (0, 1)]
+    for name in ("lines", "near_documents"):
+        kept = stages[name](spark, documents(rows), str(tmp_path)).select("doc_id", "text").collect()
+        assert sorted(map(tuple, kept)) == rows
