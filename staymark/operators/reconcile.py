@@ -92,3 +92,68 @@ def match_summary(
         )
         .withColumn("results_match", F.col("differing_keys") == 0)
     )
+
+
+# Buckets that keys are dealt to by their hash, whose digests are compared first.
+BUCKETS = 4096
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def bucket_digests(
+    df: DataFrame, keys: Sequence[str], compare: Sequence[str], buckets: int = BUCKETS
+) -> DataFrame:
+    """bucket, and the number and two sums of 64-bit hashes of its rows.
+
+    The sums do not depend on the order of rows. Hashes skip NULLs, so which values are NULL is
+    hashed along. No row leaves its task: a task sends one row for each bucket.
+    """
+    columns = [*keys, *compare]
+    missing = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), missing, *columns).cast("decimal(38,0)"))
+
+    return df.groupBy(_bucket(keys, buckets).alias("bucket")).agg(
+        F.count("*").alias("rows"), total(1).alias("first_sum"), total(2).alias("second_sum")
+    )
+
+
+def differing_buckets(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str],
+    buckets: int = BUCKETS,
+) -> list[int]:
+    """Numbers of the buckets that do not hold the same rows on both sides."""
+    told = ["rows", "first_sum", "second_sum"]
+    sides = [
+        bucket_digests(df, keys, compare, buckets).select("bucket", F.struct(*told).alias("told"), F.lit(n).alias("side"))
+        for n, df in enumerate((left, right))
+    ]
+    both = sides[0].unionByName(sides[1]).groupBy("bucket")
+    found = both.agg(F.count("*").alias("sides"), F.count_distinct("told").alias("kinds"))
+    return sorted(row["bucket"] for row in found.where("sides < 2 OR kinds > 1").collect())
+
+
+def differences_by_digest(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    compare: Sequence[str],
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """``differences`` of two results that mostly agree, such as those of two engines.
+
+    Both sides are read twice, so pass written tables: once for the digests of their buckets,
+    once for the rows of the buckets whose digests differ. Only these are shuffled.
+    """
+    numbers = differing_buckets(left, right, keys, compare, buckets)
+
+    def unsettled(df: DataFrame) -> DataFrame:
+        return df.where(_bucket(keys, buckets).isin(numbers))
+
+    return differences(unsettled(left), unsettled(right), keys, compare)

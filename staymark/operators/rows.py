@@ -33,12 +33,18 @@ def rank_struct(order: Sequence[str], newest: str | None = None) -> Column:
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], *, newest: str | None = None, ties: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    *,
+    newest: str | None = None,
+    ties: Sequence[str] = (),
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per key: the newest by a timestamp column, then the first by ``ties``.
 
     Columns not named break what ties remain, so the winner does not depend on how the
-    data is laid out. See ``rank_struct`` for the order.
+    data is laid out. See ``rank_struct`` for the order. ``also`` are named aggregates over all
+    rows of the key, which become columns of its row.
 
     The winner is the least struct of a group, hence an aggregate. Unlike a ranking
     window, an aggregate always has a partial step in front of its shuffle, also where
@@ -47,12 +53,10 @@ def first_per_key(
     """
     others = [c for c in df.columns if c not in keys]
     order = [*ties, *[c for c in others if c not in ties]]
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(rank_struct(order, newest)).alias("_first"))
-        .select(
-            *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
-        )
+    grouped = df.groupBy(*keys).agg(F.min(rank_struct(order, newest)).alias("_first"), *also)
+    return grouped.select(
+        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns],
+        *grouped.columns[len(keys) + 1 :],
     )
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 # Largest relation, measured as uncompressed rows, that is sent to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Row header, hash table slot and null bits; and the most a fixed-width value takes.
-_ROW_OVERHEAD = 48
-_FIXED_WIDTH = 16
+ROW_OVERHEAD = 48
+FIXED_WIDTH = 16
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -20,12 +20,12 @@ def measured_bytes(df: DataFrame) -> int:
 
     def width(field: T.StructField) -> Column:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(_FIXED_WIDTH)
+            return F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(FIXED_WIDTH)
         if isinstance(field.dataType, T.AtomicType):
-            return F.lit(_FIXED_WIDTH)
+            return F.lit(FIXED_WIDTH)
         raise TypeError(f"no size rule for column {field.name}: {field.dataType.simpleString()}")
 
-    row = reduce(lambda a, b: a + b, [width(f) for f in df.schema.fields], F.lit(_ROW_OVERHEAD))
+    row = reduce(lambda a, b: a + b, [width(f) for f in df.schema.fields], F.lit(ROW_OVERHEAD))
     total = df.agg(F.sum(row.cast("long")).alias("bytes")).first()["bytes"]
     return int(total or 0)
 

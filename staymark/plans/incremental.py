@@ -11,6 +11,7 @@ from staymark.operators.sizing import BROADCAST_BYTES, broadcast_if_fits, fits_b
 from staymark.plans.gold import daily_city_kpis
 from staymark.plans.silver import reconcile_state, silver_columns, snapshot_with_events
 from staymark.schemas import NTZ
+from staymark.sinks.locations import written
 from staymark.statuses import DEFAULT_STATUSES, StatusModel
 
 # What a matched booking keeps from its first load.
@@ -41,10 +42,12 @@ def silver_delta(
 
     If the changed ids are measured to fit, they are broadcast and the history of
     all other bookings is dropped before the shuffle. If not, the whole history is
-    reconciled and then filtered.
+    reconciled and then filtered. The ids are found once, and written.
     """
     since = F.lit(mark).cast(NTZ)
     changed = changed_bookings(bookings, events, mark)
+    if broadcast_bytes > 0:
+        changed = written(changed, "changed")
     if fits_broadcast(changed, broadcast_bytes):
         ids = F.broadcast(changed)
         bookings = rows_with(bookings, ids, "booking_id")

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 
 from staymark.plans import staging
 from staymark.plans.gold import daily_city_kpis
-from staymark.plans.incremental import affected_days, silver_delta
+from staymark.plans.incremental import silver_delta
 from staymark.plans.quality import quality_gate
 from staymark.plans.silver import silver_bookings
 from staymark.sinks import tables
+from staymark.sinks.day_index import DayIndex
 from staymark.sinks.locations import staged
 from staymark.statuses import DEFAULT_STATUSES, StatusModel
 
@@ -49,6 +50,7 @@ class BookingTables:
     ):
         self.spark, self.root, self.model, self.as_of = spark, root, model, as_of
         self.silver_root, self.gold_root = f"{root}/silver_bookings", f"{root}/gold_daily_city_kpis"
+        self.index = DayIndex(spark, f"{root}/silver_day_index")
         self.bookings = staging.typed_bookings(bookings_raw)
         self.events = staging.typed_events(events_raw)
         self.hotels_raw = hotels_raw
@@ -127,27 +129,36 @@ class BookingTables:
             partition_by=[SILVER_DAY],
             sort_by=["booking_id"],
         )
+        self.index.build(self.silver(), SILVER_DAY)
         tables.publish(
             self._kpis(self.silver()), self.gold_root, partition_by=[GOLD_DAY], sort_by=["city"]
         )
 
     def incremental_refresh(self, mark: str) -> None:
-        """Merge bookings with news past ``mark`` into silver and redo their days in gold."""
+        """Merge bookings with news past ``mark`` into silver and redo their days in gold.
+
+        Silver is read on the days that the index names, and nowhere else.
+        """
         delta = silver_delta(self.bookings, self.events, mark, self.model, as_of=self.as_of)
         silver_path = tables.current_path(self.spark, self.silver_root)
+        if not self.index.exists():
+            self.index.build(self.silver(), SILVER_DAY)
         with staged(delta, "delta") as delta:
             if delta.isEmpty():
                 return
-            with staged(affected_days(self.silver(), delta), "days") as days:
-                tables.upsert_silver(
-                    self.spark,
-                    silver_path,
-                    delta,
-                    _with_day(self._silver_schema),
-                    day=SILVER_DAY,
-                    days=days,
-                )
-                self._redo_gold(days, tables.on_days(self.silver(), SILVER_DAY, days))
+            days = self.index.admit(delta, F.to_date("created_at"))
+            tables.upsert_silver(
+                self.spark,
+                silver_path,
+                delta,
+                _with_day(self._silver_schema),
+                day=SILVER_DAY,
+                days=days,
+                is_written=True,
+            )
+            self._redo_gold(days, tables.on_days(self.silver(), SILVER_DAY, days))
+        if self.index.crowded():
+            self.index.fold()
 
     def backfill(self, first: str, last: str) -> None:
         """Recompute gold for the days from ``first`` to ``last`` from current silver."""

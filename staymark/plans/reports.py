@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staymark.operators.reconcile import differences, match_summary
+from staymark.operators.reconcile import differences, differences_by_digest, match_summary
 
 SILVER_COMPARED = ("booking_status", "price", "_had_conflict")
 GOLD_COMPARED = (
@@ -89,6 +89,10 @@ def silver_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     return differences(left, right, ["booking_id"], SILVER_COMPARED)
 
 
+def silver_differences_by_digest(left: DataFrame, right: DataFrame) -> DataFrame:
+    return differences_by_digest(left, right, ["booking_id"], SILVER_COMPARED)
+
+
 def gold_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     return differences(left, right, ["booking_date", "city"], GOLD_COMPARED)
 

@@ -29,11 +29,21 @@ from staymark.statuses import DEFAULT_STATUSES, StatusModel
 _SNAPSHOT_NAMES = {"status": "snapshot_status", "updated_at": "snapshot_updated_at"}
 
 
-def latest_snapshot(bookings: DataFrame) -> DataFrame:
-    """The current snapshot of every booking."""
+def _claim(status: str, model: StatusModel, name: str) -> Column:
+    """Strongest terminal status among the rows of a group, with its strength in front."""
+    # `terminal` lists the strongest claim first.
+    strength = status_rank(F.col(status), model.terminal[::-1])
+    claim = F.struct(strength.alias("strength"), F.col(status).alias("claim"))
+    return F.max(F.when(F.col(status).isin(*model.terminal), claim)).alias(name)
+
+
+def latest_snapshot(bookings: DataFrame, claims: StatusModel | None = None) -> DataFrame:
+    """The current snapshot of every booking; with ``claims``, also the strongest terminal
+    status of any of its snapshots, as ``_snapshot_claim``."""
+    more = [] if claims is None else [_claim("status", claims, "_snapshot_claim")]
     return (
-        first_per_key(bookings, ["booking_id"], newest="updated_at", ties=SNAPSHOT_TIES)
-        .select("booking_id", *SNAPSHOT_TIES, "updated_at")
+        first_per_key(bookings, ["booking_id"], newest="updated_at", ties=SNAPSHOT_TIES, also=more)
+        .select("booking_id", *SNAPSHOT_TIES, "updated_at", *(["_snapshot_claim"] if more else []))
         .withColumnsRenamed(_SNAPSHOT_NAMES)
     )
 
@@ -64,30 +74,46 @@ def _event_columns(model: StatusModel) -> list[Column | str]:
     ]
 
 
-def event_state(events: DataFrame, model: StatusModel = DEFAULT_STATUSES) -> DataFrame:
-    """Latest event and last time of every event type per booking, in one pass."""
+def event_state(
+    events: DataFrame, model: StatusModel = DEFAULT_STATUSES, *, claims: bool = False
+) -> DataFrame:
+    """Latest event and last time of every event type per booking, in one pass; with
+    ``claims``, also the strongest terminal status of any event, as ``_event_claim``."""
+    more = [_claim("event_type", model, "_event_claim")] if claims else []
     return (
         events.groupBy("booking_id")
-        .agg(F.max(_event_rank(model)).alias("_newest"), *_last_seen(model))
-        .select("booking_id", *_event_columns(model))
+        .agg(F.max(_event_rank(model)).alias("_newest"), *_last_seen(model), *more)
+        .select("booking_id", *_event_columns(model), *(["_event_claim"] if claims else []))
     )
 
 
 def snapshot_with_events(
-    bookings: DataFrame, events: DataFrame, model: StatusModel = DEFAULT_STATUSES
+    bookings: DataFrame,
+    events: DataFrame,
+    model: StatusModel = DEFAULT_STATUSES,
+    *,
+    claims: bool = False,
 ) -> DataFrame:
     """Every booking's snapshot beside its event state, if it has events."""
-    return latest_snapshot(bookings).join(event_state(events, model), "booking_id", "left")
+    snapshots = latest_snapshot(bookings, model if claims else None)
+    return snapshots.join(event_state(events, model, claims=claims), "booking_id", "left")
 
 
 def stacked_state(
-    bookings: DataFrame, events: DataFrame, model: StatusModel = DEFAULT_STATUSES
+    bookings: DataFrame,
+    events: DataFrame,
+    model: StatusModel = DEFAULT_STATUSES,
+    *,
+    days: bool = False,
 ) -> DataFrame:
     """``snapshot_with_events`` as one aggregate over both feeds stacked.
 
     Works on streams, where it keeps one row of state per booking and needs neither a
-    window nor a join. Events without a key match no snapshot and are left out.
+    window nor a join. Events without a key match no snapshot and are left out. With
+    ``days``, ``_days`` are the days (NULL included) that any snapshot of the booking was created on.
     """
+    day = F.when(F.col("_snapshot"), F.struct(F.to_date("created_at").alias("day")))
+    seen = [F.collect_set(day).alias("_days")] if days else []
     stacked = bookings.withColumn("_snapshot", F.lit(True)).unionByName(
         events.where(F.col("booking_id").isNotNull()).withColumn("_event", F.lit(True)),
         allowMissingColumns=True,
@@ -99,35 +125,19 @@ def stacked_state(
             F.min(F.when(F.col("_snapshot"), snapshot_rank)).alias("_first"),
             F.max(F.when(F.col("_event"), _event_rank(model))).alias("_newest"),
             *_last_seen(model),
+            *seen,
         )
         .where(F.col("_first").isNotNull())
         .select(
             "booking_id",
             *[F.col(f"_first.{c}").alias(c) for c in (*SNAPSHOT_TIES, "updated_at")],
             *_event_columns(model),
+            *(["_days"] if days else []),
         )
         .withColumnsRenamed(_SNAPSHOT_NAMES)
     )
 
 
-def terminal_claims(
-    bookings: DataFrame, events: DataFrame, model: StatusModel = DEFAULT_STATUSES
-) -> DataFrame:
-    """Strongest terminal status any snapshot or event ever gave a booking."""
-    claims = (
-        bookings.select("booking_id", F.col("status").alias("claim"))
-        .unionByName(events.select("booking_id", F.col("event_type").alias("claim")))
-        .where(F.col("claim").isin(*model.terminal))
-    )
-    # `terminal` lists the strongest claim first.
-    strength = status_rank(F.col("claim"), model.terminal[::-1])
-    return (
-        claims.groupBy("booking_id")
-        .agg(F.max(F.struct(strength.alias("strength"), "claim")).alias("_top"))
-        .select("booking_id", F.col("_top.claim").alias("terminal_claim"))
-    )
-
-
 def reconcile_state(
     combined: DataFrame, model: StatusModel = DEFAULT_STATUSES, *, as_of: str | None = None
 ) -> DataFrame:
@@ -172,11 +182,12 @@ def silver_bookings(
     word of one source. ``terminal="ever"`` keeps it once any snapshot or event
     has said so.
     """
-    silver = reconcile_state(snapshot_with_events(bookings, events, model), model, as_of=as_of)
-    if terminal == "ever":
-        silver = silver.join(
-            terminal_claims(bookings, events, model), "booking_id", "left"
-        ).withColumn("booking_status", F.coalesce("terminal_claim", "booking_status"))
-    elif terminal != "latest":
+    if terminal not in ("latest", "ever"):
         raise ValueError(f"terminal must be 'latest' or 'ever', not {terminal!r}")
+    ever = terminal == "ever"
+    combined = snapshot_with_events(bookings, events, model, claims=ever)
+    silver = reconcile_state(combined, model, as_of=as_of)
+    if ever:
+        claim = F.greatest("_snapshot_claim", "_event_claim")
+        silver = silver.withColumn("booking_status", F.coalesce(claim["claim"], "booking_status"))
     return silver.select(*silver_columns(model))

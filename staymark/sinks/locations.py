@@ -107,6 +107,16 @@ def list_folder(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
 
 
+def create_file(spark: SparkSession, path: str, content: str) -> None:
+    """Write a small file that must not exist yet; of two writers one fails."""
+    store, target = _file_system(spark, path)
+    out = store.create(target, False)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a table folder, wherever Hadoop can reach it."""
     store, target = _file_system(spark, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import ExitStack, contextmanager
@@ -11,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staymark.operators.ranges import covering
 from staymark.operators.rows import rows_with, rows_without
 from staymark.operators.sizing import BROADCAST_BYTES, broadcast_if_fits
 from staymark.plans.incremental import affected_days, merge_silver
-from staymark.sinks.locations import delete_folder, folder_exists, list_folder, staged
+from staymark.sinks.locations import create_file, delete_folder, folder_exists, list_folder, staged
 
 # Files this large read well and are few.
 FILE_BYTES = 192 * 1024 * 1024
@@ -87,6 +89,14 @@ def write_table(
     _write(df, path, partition_by, sort_by, file_bytes, "static")
 
 
+def write_clustered(df: DataFrame, path: str, key: str, *, file_bytes: int = FILE_BYTES) -> None:
+    """Replace the table at ``path`` by files that are sorted by ``key`` and, but for a hot key,
+    share none of its values: a lookup opens few of them (see ``lookup``)."""
+    ordered = df.repartitionByRange(key).sortWithinPartitions(key)
+    with _file_size(df.sparkSession, file_bytes):
+        ordered.write.mode("overwrite").parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The table at ``path``. Pass the schema where partition values might not show it."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -129,9 +139,11 @@ def publish(
 
 
 def _commit(spark: SparkSession, root: str, version: int, path: str) -> None:
-    """Record ``path`` as a version; fails if another writer took the number."""
-    record = spark.range(1).select(F.lit(version).alias("version"), F.lit(path).alias("path"))
-    record.coalesce(1).write.mode("error").json(f"{root}/commits/version={version}")
+    """Record ``path`` as a version; fails if another writer took the number.
+
+    The record is one file that the file system creates only if there is none.
+    """
+    create_file(spark, f"{root}/commits/{version:012d}.json", json.dumps({"version": version, "path": path}))
 
 
 def _last_commit(spark: SparkSession, root: str):
@@ -178,20 +190,22 @@ def current(spark: SparkSession, root: str, schema: T.StructType | None = None)
 def on_days(df: DataFrame, column: str, days: DataFrame) -> DataFrame:
     """Rows of ``df`` whose partition ``column`` is among ``days`` (one column; NULL is a day).
 
-    The first and last day are literal bounds, so that folders outside are pruned; a semi
-    join keeps exactly the days wanted, however many they are. ``days`` is read twice, so
-    pass a written table.
+    The days become a few literal ranges, so that folders outside are pruned, also those
+    between two stretches of days; a semi join keeps exactly the days wanted, however many
+    they are. ``days`` is read three times, so pass a written table.
     """
-    day = F.col(days.columns[0])
-    span = days.agg(
-        F.min(day).alias("first"), F.max(day).alias("last"), F.bool_or(day.isNull()).alias("undated")
-    ).first()
-    inside = F.lit(False)
-    if span["first"] is not None:
-        inside = F.col(column).between(F.lit(span["first"]), F.lit(span["last"]))
-    if span["undated"]:
-        inside = inside | F.col(column).isNull()
-    return rows_with(df.where(inside), days, column)
+    return rows_with(df.where(covering(days).holds(column)), days, column)
+
+
+def lookup(df: DataFrame, column: str, keys: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is among ``keys`` (one column; NULL finds NULL).
+
+    The keys become a few literal ranges, by which files sorted by ``column`` skip the row
+    groups that hold none; a semi join keeps exactly the keys wanted. ``keys`` is read
+    several times, so pass a written table.
+    """
+    near = df.where(covering(keys).holds(column))
+    return rows_with(near, broadcast_if_fits(keys, broadcast_bytes), column)
 
 
 def partition_folder(path: str, column: str, day: dt.date | None) -> str:
@@ -232,25 +246,29 @@ def upsert_silver(
     day: str = "created_date",
     replace: bool = False,
     days: DataFrame | None = None,
+    is_written: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
     """Bring the rows of ``delta`` into the silver table at ``path``.
 
     By default by MERGE rules: a matched booking keeps its created_at and so its day.
     With ``replace`` the rows of ``delta`` stand in for those they match and may move
-    to another day. ``days`` are the days concerned, if the caller has them already (see
-    ``affected_days``). Only these are rewritten, and nothing if the delta is empty. They
+    to another day. ``days`` are the days concerned, if the caller has them already, written
+    (see ``DayIndex.admit``); else the whole table is looked through for them. Only these
+    are rewritten, and nothing if the delta is empty. They
     are written to the shared folder first and swapped in from there, so a run that dies can be
-    repeated: the same delta a second time changes nothing.
+    repeated: the same delta a second time changes nothing. ``is_written`` says that
+    ``delta`` is a written table.
     """
     with ExitStack() as stack:
-        delta = stack.enter_context(staged(delta, "delta"))
+        if not is_written:
+            delta = stack.enter_context(staged(delta, "delta"))
         if delta.isEmpty():
             return
         target = read_table(spark, path, schema)
         if days is None:
-            days = affected_days(target, delta, broadcast_bytes=broadcast_bytes)
-        days = stack.enter_context(staged(days, "days"))
+            found = affected_days(target, delta, broadcast_bytes=broadcast_bytes)
+            days = stack.enter_context(staged(found, "days"))
         old_days = on_days(target, day, days)
         old = old_days.drop(day)
         if replace:
@@ -267,15 +285,15 @@ def upsert_silver(
 # --- maintenance ----------------------------------------------------------------------
 
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet files of a table, from the file listing alone."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+
+
 def file_sizes(spark: SparkSession, path: str, partition: str) -> DataFrame:
-    """Files and bytes per partition value, from the file listing alone."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .groupBy(partition)
-        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-    )
+    """Files and bytes per partition value."""
+    listed = _listed(spark, path).groupBy(partition)
+    return listed.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
 def compact(
@@ -291,42 +309,89 @@ def compact(
 
     Rows do not change. A partition gets as many files as it has ``file_bytes``. Its rows
     are dealt out to them by position, so copies of one row spread too, and a task that is
-    run again deals the same way. Partitions already in shape are not read. The new files
-    come from a checked copy beside the table, which stays until they are swapped in: a run
-    that dies before is finished by the next one. Nothing else may write these partitions
-    until then.
+    run again deals the same way. Partitions already in shape are not read.
+
+    The new files come from a copy beside the table, which counts only once it has been
+    compared with its source and a mark says so: an unmarked copy is deleted. A run that
+    dies while swapping in is finished by the next one. It leaves a partition alone whose files are
+    not those that were copied, so a later write is never undone; one without files was being
+    swapped in, and gets its rows back. So days must not be emptied between two such runs.
     """
-    ready = f"{path}_compacted"
-    if not folder_exists(spark, f"{ready}/_SUCCESS"):  # else a run ended while swapping in
-        wanted = F.ceil(F.col("bytes") / F.lit(file_bytes)).cast("int")
-        sizes = file_sizes(spark, path, partition).withColumn("_files", wanted)
-        crowded = sizes.where(F.col("files") > F.col("_files")).select(F.col(partition).alias("_day"), "_files")
+    beside = f"{path}_compacted"
+    if not folder_exists(spark, f"{beside}/checked"):
+        if folder_exists(spark, beside):
+            delete_folder(spark, beside)
+        crowded = crowded_partitions(spark, path, partition, file_bytes)
         with staged(crowded, "crowded") as crowded:
             if crowded.isEmpty():
                 return []
-            table = on_days(read_table(spark, path, schema), partition, crowded.select("_day"))
-            dealt = (
-                table.select("*", F.col("_metadata.row_index").alias("_position"))
-                .join(crowded, F.col(partition).eqNullSafe(F.col("_day")))
-                .withColumn("_slot", F.pmod("_position", "_files"))
-                .drop("_position", "_day", "_files")
-            )
-            dealt.write.mode("overwrite").parquet(ready)
-            _same_rows(table, spark.read.parquet(ready))
-    copy = spark.read.parquet(ready)
-    files = copy.select(partition, "_slot").distinct()
-    (
-        copy.repartition(max(1, files.count()), partition, "_slot")
-        .sortWithinPartitions(partition, "_slot", *sort_by)
-        .drop("_slot")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
+            _copy_checked(spark, path, partition, crowded, schema, beside)
+    return _swap_in(spark, path, partition, sort_by, beside)
+
+
+def crowded_partitions(spark: SparkSession, path: str, partition: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """_day and _files (needed) of the partitions that have more files than their bytes need."""
+    wanted = F.ceil(F.col("bytes") / F.lit(file_bytes)).cast("int")
+    sizes = file_sizes(spark, path, partition).withColumn("_files", wanted)
+    return sizes.where(F.col("files") > F.col("_files")).select(F.col(partition).alias("_day"), "_files")
+
+
+def _files_of(spark: SparkSession, path: str, partition: str) -> DataFrame:
+    """_day and the sorted names and lengths of its files."""
+    name = F.element_at(F.split("path", "/"), -1)
+    listed = _listed(spark, path)
+    if partition not in listed.columns:  # no folder at all
+        listed = listed.withColumn(partition, F.lit(None).cast("date"))
+    return (
+        listed.groupBy(F.col(partition).alias("_day"))
+        .agg(F.array_sort(F.collect_list(F.struct(name.alias("name"), "length"))).alias("files"))
     )
-    # One value for each partition rewritten.
-    days = [row[partition] for row in files.select(partition).distinct().collect()]
-    delete_folder(spark, ready)
+
+
+def _copy_checked(
+    spark: SparkSession, path: str, partition: str, crowded: DataFrame, schema: T.StructType | None, beside: str
+) -> None:
+    """Copy the crowded partitions, each row with the file it goes to, and mark the copy."""
+    sources = rows_with(_files_of(spark, path, partition), crowded.select("_day"), "_day")
+    sources.write.parquet(f"{beside}/sources")
+    table = on_days(read_table(spark, path, schema), partition, crowded.select("_day"))
+    dealt = (
+        table.select("*", F.col("_metadata.row_index").alias("_position"))
+        .join(broadcast_if_fits(crowded), F.col(partition).eqNullSafe(F.col("_day")))
+        .withColumn("_slot", F.pmod("_position", "_files"))
+        .drop("_position", "_day", "_files")
+    )
+    dealt.write.parquet(f"{beside}/rows")
+    try:
+        _same_rows(table, spark.read.parquet(f"{beside}/rows"))
+    except RuntimeError:
+        delete_folder(spark, beside)
+        raise
+    create_file(spark, f"{beside}/checked", "")
+
+
+def _swap_in(
+    spark: SparkSession, path: str, partition: str, sort_by: Sequence[str], beside: str
+) -> list[dt.date | None]:
+    """Replace the partitions of a checked copy that still have the files copied, or none."""
+    sources = spark.read.parquet(f"{beside}/sources").withColumnRenamed("files", "copied")
+    now = _files_of(spark, path, partition).withColumnRenamed("_day", "_now")
+    unchanged = F.col("files").isNull() | (F.col("files") == F.col("copied"))
+    due = sources.join(now, F.col("_day").eqNullSafe(F.col("_now")), "left").where(unchanged)
+    with staged(due.select("_day"), "due") as due:
+        copy = rows_with(spark.read.parquet(f"{beside}/rows"), due, partition)
+        files = copy.select(partition, "_slot").distinct()
+        (
+            copy.repartition(max(1, files.count()), partition, "_slot")
+            .sortWithinPartitions(partition, "_slot", *sort_by)
+            .drop("_slot")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
+        days = [row["_day"] for row in due.collect()]  # one value for each partition rewritten
+    delete_folder(spark, beside)
     return days
 
 
@@ -364,8 +429,3 @@ def create_table(
 
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def analyze(spark: SparkSession, name: str) -> None:
-    """Collect table and column statistics for the optimizer."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")

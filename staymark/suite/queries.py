@@ -8,10 +8,12 @@ status, refunds counted negative, prices cut by a fee, or gold built too early.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from functools import cached_property
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +23,18 @@ from staymark.plans import incremental as I
 from staymark.plans import quality as Q
 from staymark.plans import reports as R
 from staymark.plans import silver as S
-from staymark.plans import staging
+from staymark.plans import staging, views
 from staymark.plans.refresh import BookingTables
 from staymark.session import prepare
-from staymark.sinks import tables
-from staymark.sinks.locations import new_folder, written
+from staymark.sinks import statistics, tables
+from staymark.sinks.day_index import DayIndex
+from staymark.sinks.locations import list_folder, new_folder, written
 from staymark.sources.derived import DerivedFeeds
+from staymark.sources.seeds import read_seed, write_seed
 from staymark.statuses import StatusModel
 from staymark.streaming.silver_stream import create_empty_silver, start_silver_stream
-from staymark.suite.oracle import BACKFILL, MARK, SINCE, TODAY
+from staymark.streaming.staging_stream import start_event_stream
+from staymark.suite.oracle import BACKFILL, FOUND_IDS, LOST, MARK, RAISED, SINCE, SPARSE_DAYS, TODAY
 
 AS_OF = "2000-01-01 00:00:00"
 UNCANCELLED = StatusModel(domain=("created", "confirmed"))
@@ -174,6 +179,18 @@ def upsert_table(t: Layers) -> DataFrame:
     return _read_silver(t, path)
 
 
+def upsert_by_key_index(t: Layers) -> DataFrame:
+    """The same merge, where an index says on which days the bookings of the delta are."""
+    path = _write_silver(t, t.early_silver, "silver")
+    index = DayIndex(t.spark, new_folder(t.spark, "index"))
+    index.build(_read_silver(t, path), "created_date")
+    delta = written(t.delta(), "delta")
+    days = index.admit(delta, F.to_date("created_at"))
+    schema = _with_created_date(t.silver.schema)
+    tables.upsert_silver(t.spark, path, delta, schema, days=days, is_written=True)
+    return _read_silver(t, path)
+
+
 def gold_incremental(t: Layers) -> DataFrame:
     delta = written(t.delta(), "delta")
     before = written(t.early_silver, "silver")
@@ -208,9 +225,22 @@ def refreshed_tables(t: Layers) -> BookingTables:
 
 
 def stored_staging(t: Layers) -> DataFrame:
+    """Rows of each stored table, and the days that it is partitioned by."""
     stored = booking_tables(t)
     stored.publish_staging()
-    return R.input_volumes({name: stored.staged(name) for name in staged_tables(t)})
+
+    def told(name: str) -> DataFrame:
+        df = stored.staged(name)
+        day = F.col(df.columns[-1]) if name != "stg_hotels" else F.lit(None).cast("date")
+        return df.agg(
+            F.lit(name).alias("table"),
+            F.count("*").alias("row_count"),
+            F.count_distinct(day).alias("days"),
+            F.min(day).alias("first_day"),
+            F.max(day).alias("last_day"),
+        )
+
+    return reduce(DataFrame.unionByName, [told(name) for name in staged_tables(t)])
 
 
 # --- sinks ----------------------------------------------------------------------------
@@ -223,10 +253,16 @@ def full_refresh_roundtrip(t: Layers) -> DataFrame:
 
 
 def idempotent_rerun(t: Layers) -> DataFrame:
-    root = new_folder(t.spark, "gold")
-    tables.publish(t.gold, root, partition_by=["booking_date"])
-    tables.publish(t.gold, root, partition_by=["booking_date"])
-    return tables.current(t.spark, root, t.gold.schema)
+    """Gold published twice: the rows of the second version, and what it changed."""
+    root, gold = new_folder(t.spark, "gold"), written(t.gold, "gold")
+    paths = [tables.publish(gold, root, partition_by=["booking_date"]) for _ in range(2)]
+    first, second = (tables.read_table(t.spark, path, t.gold.schema) for path in paths)
+    changed = R.gold_differences(first, second).count()
+    numbers = {
+        "versions": F.lit(len(list_folder(t.spark, f"{root}/data"))),
+        "changed": F.lit(changed),
+    }
+    return tables.current(t.spark, root, t.gold.schema).withColumns(numbers)
 
 
 def partitioned_scan(t: Layers) -> DataFrame:
@@ -234,6 +270,77 @@ def partitioned_scan(t: Layers) -> DataFrame:
     return tables.between(silver, "created_at", "created_date", *BACKFILL)
 
 
+def sparse_scan(t: Layers) -> DataFrame:
+    """Days of silver that lie far apart."""
+    silver = _read_silver(t, _write_silver(t, t.silver, "silver"))
+    days = written(silver.select("created_date").distinct().where(SPARSE_DAYS), "days")
+    return tables.on_days(silver, "created_date", days)
+
+
+def clustered_lookup(t: Layers) -> DataFrame:
+    """Bookings by id, from files sorted by it."""
+    path = new_folder(t.spark, "silver")
+    tables.write_clustered(t.silver, path, "booking_id")
+    ids = t.feeds.table("orders").select(F.col("o_orderkey").alias("booking_id")).where(FOUND_IDS)
+    return tables.lookup(tables.read_table(t.spark, path), "booking_id", written(ids, "ids"))
+
+
+@contextmanager
+def _database(t: Layers) -> Iterator[str]:
+    """A database of the catalog, for the length of a block."""
+    name = f"staymark_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(t.spark, name)}'")
+    try:
+        yield name
+    finally:
+        t.spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def created_and_dropped(t: Layers) -> DataFrame:
+    """A table declared twice, filled by SQL, read and dropped."""
+    t.stored_silver.createOrReplaceTempView("silver_to_insert")
+    with _database(t) as database:
+        name = f"{database}.silver"
+        for _ in range(2):
+            tables.create_table(t.spark, name, t.silver.schema, new_folder(t.spark, "silver"))
+        t.spark.sql(f"INSERT INTO {name} SELECT * FROM silver_to_insert")
+        held = written(t.spark.table(name), "silver")
+        tables.drop_table(t.spark, name)
+        tables.drop_table(t.spark, name)
+        present = t.spark.catalog.tableExists(name)
+    t.spark.catalog.dropTempView("silver_to_insert")
+    return held.withColumn("present_after_drop", F.lit(present))
+
+
+def staging_by_views(t: Layers) -> DataFrame:
+    """Staging read through views of the catalog, by SQL alone."""
+    raw = {
+        "bookings_raw": t.feeds.bookings_raw(),
+        "booking_events_raw": t.feeds.booking_events_raw(),
+        "hotels_raw": t.hotels_raw,
+    }
+    with _database(t) as database:
+        for name, df in raw.items():
+            path = new_folder(t.spark, name)
+            df.write.parquet(path)
+            tables.create_table(t.spark, f"{database}.{name}", df.schema, path)
+        views.create_staging_views(t.spark, database)
+        return t.spark.sql(f"""
+            SELECT b.*, h.city, coalesce(h.star_rating, 0) AS star_rating, coalesce(e.events, 0) AS events
+            FROM {database}.stg_bookings b
+            LEFT JOIN {database}.stg_hotels h ON h.hotel_id = b.hotel_id
+            LEFT JOIN (SELECT booking_id, count(*) AS events FROM {database}.stg_booking_events
+                       GROUP BY booking_id) e ON e.booking_id = b.booking_id""")
+
+
+def csv_roundtrip(t: Layers) -> DataFrame:
+    """Snapshots beside their events, where these are missing too, through typed CSV."""
+    feed = S.snapshot_with_events(t.bookings, t.events)
+    path = new_folder(t.spark, "seed")
+    write_seed(feed, path)
+    return read_seed(t.spark, path, feed.schema)
+
+
 def _early_gold_table(t: Layers) -> str:
     path = new_folder(t.spark, "gold")
     tables.write_table(t.early_gold, path, partition_by=["booking_date"], sort_by=["city"])
@@ -282,12 +389,15 @@ def backfill_tables(t: Layers) -> DataFrame:
 
 
 def compacted(t: Layers) -> DataFrame:
+    """Silver in too many files, brought into shape; and how many days are not in it after."""
     path = new_folder(t.spark, "silver")
     scattered = tables.with_day(t.silver, "created_at", "created_date").repartition(4)
     scattered.write.partitionBy("created_date").parquet(path)
     schema = _with_created_date(t.silver.schema)
-    tables.compact(t.spark, path, "created_date", ["booking_id"], schema=schema)
-    return _read_silver(t, path)
+    days = tables.compact(t.spark, path, "created_date", ["booking_id"], schema=schema)
+    left = tables.crowded_partitions(t.spark, path, "created_date").count()
+    shape = {"compacted": F.lit(len(days) > 0), "crowded_days": F.lit(left)}
+    return _read_silver(t, path).withColumns(shape)
 
 
 def evolved(t: Layers) -> DataFrame:
@@ -301,39 +411,106 @@ def evolved(t: Layers) -> DataFrame:
     return tables.read_evolved(t.spark, old, new).select(*silver.columns)
 
 
-def analyzed(t: Layers) -> DataFrame:
+@contextmanager
+def _analyzed_gold(t: Layers) -> Iterator[str]:
+    """Gold as a table of the catalog that has statistics, for the length of a block."""
     path = new_folder(t.spark, "gold")
     tables.write_table(t.gold, path, partition_by=["booking_date"], sort_by=["city"])
-    name = "gold_" + path[-32:]
     day = t.gold.schema["booking_date"]
     others = T.StructType([f for f in t.gold.schema.fields if f.name != day.name])
-    tables.create_table(t.spark, name, others, path, day)
-    tables.analyze(t.spark, name)
-    return t.spark.table(name).select(*t.gold.columns)
+    with _database(t) as database:
+        tables.create_table(t.spark, f"{database}.gold", others, path, day)
+        statistics.analyze(t.spark, f"{database}.gold")
+        yield f"{database}.gold"
+
+
+def analyzed(t: Layers) -> DataFrame:
+    """Gold read through the catalog, and how many rows its statistics say it has."""
+    with _analyzed_gold(t) as name:
+        known = statistics.stored_statistics(t.spark, name).rows
+        read = t.spark.table(name).select(*t.gold.columns)
+        # Written, for a partitioned table of the catalog is listed only when it is read.
+        return written(read.withColumn("analyzed_rows", F.lit(known)), "gold")
+
+
+def table_statistics(t: Layers) -> DataFrame:
+    """What the catalog says of gold's columns; distinct values are approximate, so only
+    whether they are within a tenth is told."""
+
+    def shown(bound: str) -> Column:
+        """Numbers as they are, days as their number, as one type for all columns."""
+        day = F.expr(f"unix_date(try_cast({bound} AS date))").cast("double")
+        number = F.expr(f"try_cast({bound} AS double)")
+        return F.when(F.col("column") == "booking_date", day).otherwise(number).alias(bound)
+
+    near = F.abs(F.col("distinct_count") - F.col("exact")) * 10 <= F.col("exact")
+    with _analyzed_gold(t) as name:
+        columns = [c for c in t.gold.columns if c != "_computed_at"]
+        counts = t.spark.table(name).agg(*[F.count_distinct(c).alias(c) for c in columns])
+        exact = counts.unpivot([], columns, "column", "exact")
+        told = statistics.statistics_report(t.spark, name).join(exact, "column")
+        told = told.select("column", "row_count", "null_count", near.alias("distinct_is_near"), shown("low"), shown("high"))
+        return written(told, "statistics")
 
 
 # --- streaming ------------------------------------------------------------------------
 
 
 def streamed_silver(t: Layers) -> DataFrame:
-    feeds = new_folder(t.spark, "feeds")
-    t.bookings.write.parquet(f"{feeds}/bookings")
-    t.events.write.parquet(f"{feeds}/events")
-    state = new_folder(t.spark, "stream")
+    """All rows of both feeds in one batch."""
+    return _streamed(t, [t.bookings], [t.events])
+
+
+def streamed_batches(t: Layers) -> DataFrame:
+    """Both feeds in four deliveries, each after a restart. They are dealt out by hash, so a
+    delivery holds snapshots and events older than those of the deliveries before."""
+    parts = range(4)
+
+    def dealt(df: DataFrame) -> list[DataFrame]:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(len(parts)))
+        return [df.where(part == n) for n in parts]
+
+    return _streamed(t, dealt(t.bookings), dealt(t.events))
+
+
+def _streamed(t: Layers, bookings: list[DataFrame], events: list[DataFrame]) -> DataFrame:
+    feeds, state = new_folder(t.spark, "feeds"), new_folder(t.spark, "stream")
     create_empty_silver(t.spark, f"{state}/silver", t.silver.schema)
-    query = start_silver_stream(
-        t.spark.readStream.schema(t.bookings.schema).parquet(f"{feeds}/bookings"),
-        t.spark.readStream.schema(t.events.schema).parquet(f"{feeds}/events"),
-        f"{state}/silver",
-        f"{state}/checkpoint",
-        t.silver.schema,
-        as_of=AS_OF,
-        trigger={"availableNow": True},
-    )
-    query.awaitTermination()
+    for some_bookings, some_events in zip(bookings, events, strict=True):
+        some_bookings.write.mode("append").parquet(f"{feeds}/bookings")
+        some_events.write.mode("append").parquet(f"{feeds}/events")
+        query = start_silver_stream(
+            t.spark.readStream.schema(t.bookings.schema).parquet(f"{feeds}/bookings"),
+            t.spark.readStream.schema(t.events.schema).parquet(f"{feeds}/events"),
+            f"{state}/silver",
+            f"{state}/checkpoint",
+            t.silver.schema,
+            as_of=AS_OF,
+            trigger={"availableNow": True},
+        )
+        query.awaitTermination()
     return _read_silver(t, f"{state}/silver")
 
 
+def streamed_staging(t: Layers) -> DataFrame:
+    """Events in four deliveries by their time, each with copies of its own rows and with the
+    last days of the one before once more."""
+    feed, state = new_folder(t.spark, "feed"), new_folder(t.spark, "stream")
+    ends = t.events.agg(F.min("event_ts").alias("low"), F.max("event_ts").alias("high")).first()
+    quarter, again = (ends["high"] - ends["low"]) / 4, dt.timedelta(days=5)
+    for n in range(4):
+        low, high = (F.lit(ends["low"] + quarter * i) for i in (n, n + 1))
+        at = F.col("event_ts")
+        due = t.events.where((at >= low - F.lit(again)) & ((at < high) if n < 3 else F.lit(True)))
+        due.unionByName(due).write.mode("append").parquet(feed)
+        source = t.spark.readStream.schema(t.events.schema).parquet(feed)
+        query = start_event_stream(
+            source, f"{state}/events", f"{state}/checkpoint", delay="30 days", trigger={"availableNow": True}
+        )
+        query.awaitTermination()
+    return t.spark.read.schema(t.events.schema).parquet(f"{state}/events")
+
+
 # --- checks that need a prepared input ------------------------------------------------
 
 
@@ -360,15 +537,19 @@ def price_after_fee(t: Layers) -> DataFrame:
 
 
 def all_tables(t: Layers) -> dict[str, DataFrame]:
-    return {
-        "bookings_raw": t.bookings,
-        "booking_events_raw": t.events,
-        "hotels_raw": t.hotels_raw,
-        "stg_bookings": t.stg_bookings,
-        "stg_booking_events": t.stg_events,
-        "stg_hotels": t.stg_hotels,
-        "silver_bookings": t.stored_silver,
-        "gold_daily_city_kpis": t.stored_gold,
+    """Every table of the flow, each read more than once, so each written once."""
+    raw = {
+        "bookings_raw": written(t.bookings, "bookings"),
+        "booking_events_raw": written(t.events, "events"),
+        "hotels_raw": written(t.hotels_raw, "hotels"),
+    }
+    silver = written(S.silver_bookings(raw["bookings_raw"], raw["booking_events_raw"], as_of=AS_OF), "silver")
+    return raw | {
+        "stg_bookings": staging.stg_bookings(raw["bookings_raw"]),
+        "stg_booking_events": staging.stg_booking_events(raw["booking_events_raw"]),
+        "stg_hotels": written(staging.stg_hotels(raw["hotels_raw"]), "hotels"),
+        "silver_bookings": silver,
+        "gold_daily_city_kpis": t.gold_of(silver),
     }
 
 
@@ -390,6 +571,18 @@ def silver_drift(t: Layers) -> DataFrame:
     return _sides_as(R.silver_differences(t.early_silver, t.silver), "string", "_had_conflict")
 
 
+def planted_silver(t: Layers) -> DataFrame:
+    """Silver of which some bookings are lost and others cost more."""
+    price = F.when(F.expr(RAISED), F.col("price") + 1).otherwise(F.col("price"))
+    return t.stored_silver.where(f"NOT ({LOST})").withColumn("price", price.cast(t.silver.schema["price"].dataType))
+
+
+def silver_drift_by_digest(t: Layers) -> DataFrame:
+    planted = written(planted_silver(t), "planted")
+    found = R.silver_differences_by_digest(t.stored_silver, planted)
+    return _sides_as(found, "string", "_had_conflict")
+
+
 def gold_drift(t: Layers) -> DataFrame:
     return _sides_as(R.gold_differences(merged_gold(t), t.gold), "double", *R.GOLD_COMPARED)
 
@@ -446,6 +639,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "silver_merge_upsert": merge_upsert,
     "silver_merge_upsert_large": lambda t: merge_upsert(t, broadcast_bytes=NO_BROADCAST),
     "silver_upsert_table": upsert_table,
+    "silver_upsert_by_key_index": upsert_by_key_index,
     "gold_incremental_refresh": gold_incremental,
     "gold_incremental_refresh_tables": lambda t: refreshed_tables(t).gold(),
     # sinks
@@ -453,12 +647,18 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "write_full_refresh_roundtrip": full_refresh_roundtrip,
     "write_idempotent_rerun": idempotent_rerun,
     "silver_partitioned_scan": partitioned_scan,
+    "sparse_days_scan": sparse_scan,
+    "clustered_lookup": clustered_lookup,
     "gold_partition_overwrite": partition_overwrite,
     "gold_backfill_range": backfill_range,
     "gold_backfill_tables": backfill_tables,
     "compact_partitions": compacted,
     "schema_evolution_union": evolved,
     "analyzed_table_scan": analyzed,
+    "table_statistics": table_statistics,
+    "table_create_drop": created_and_dropped,
+    "staging_views_sql": staging_by_views,
+    "seed_csv_roundtrip": csv_roundtrip,
     # quality
     "dq_not_null": hotels_missing,
     "dq_unique": lambda t: Q.unique(t.feeds.table("lineitem"), ["l_orderkey", "l_linenumber"]),
@@ -490,9 +690,12 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "reconcile_silver_summary": lambda t: R.silver_match(t.early_silver, t.silver),
     "reconcile_gold": gold_drift,
     "reconcile_gold_summary": lambda t: R.gold_match(merged_gold(t), t.gold),
+    "reconcile_by_digest": silver_drift_by_digest,
     "reconcile_two_builds": lambda t: R.silver_match(staged_silver(t), t.silver),
     # streaming
     "stream_silver_upsert": streamed_silver,
+    "stream_silver_batches": streamed_batches,
+    "stream_staging_dedupe": streamed_staging,
 }
 
 

@@ -1,0 +1,110 @@
+"""The index from booking to day, and merges that rest on it."""
+
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from test_merge import silver_row
+from test_tables import DELTA, TABLE, TARGET, day, stored, write_silver
+
+from staymark.plans.incremental import merge_silver
+from staymark.sinks import day_index, tables
+from staymark.sinks.day_index import DayIndex
+from staymark.sinks.locations import written
+
+
+def built(spark, path, tmp_path, **options):
+    index = DayIndex(spark, str(tmp_path / "index"), **options)
+    index.build(stored(spark, path), "created_date")
+    return index
+
+
+def date(n):
+    return dt.date(2025, 1, n)
+
+
+def break_day(path, name):
+    """Make a day's files unreadable."""
+    folder = Path(path) / f"created_date={name}"
+    for file in folder.iterdir():
+        if file.suffix == ".crc":
+            file.unlink()
+        else:
+            file.write_bytes(b"no parquet")
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+@pytest.mark.parametrize("bucket_rows", [1, 1000])
+def test_merge_reads_only_days_of_the_index(spark, frame, tmp_path, broadcast_bytes, bucket_rows):
+    path = str(tmp_path / "t")
+    write_silver(frame, path, TARGET)
+    index = built(spark, path, tmp_path, bucket_rows=bucket_rows)
+    break_day(path, "2025-01-03")  # no booking of the delta is there
+    want = {r for r in rows(merge_silver(frame("silver", TARGET), frame("silver", DELTA))) if r[0] != "c"}
+    delta = written(frame("silver", DELTA), "delta")
+    for _ in range(2):
+        days = index.admit(delta, F.to_date("created_at"), broadcast_bytes=broadcast_bytes)
+        # "a" and "n" stay where they are; "new" comes to the day of the delta.
+        assert rows(days) == {(date(1),), (None,), (date(6),)}
+        tables.upsert_silver(spark, path, delta, TABLE, days=days, is_written=True, broadcast_bytes=broadcast_bytes)
+        left = stored(spark, path).where("created_date IS NULL OR created_date <> DATE'2025-01-03'")
+        assert rows(left.drop("created_date")) == want
+    assert rows(index.entries(), "booking_id", "day") == {
+        ("a", date(1)), ("b", date(2)), ("c", date(3)), ("n", None), ("new", date(6)),
+    }
+
+
+def test_moved_bookings_keep_all_their_days(spark, frame, tmp_path):
+    """A replacing merge may die between index and table; the next one still finds the old row."""
+    path = str(tmp_path / "t")
+    write_silver(frame, path, TARGET)
+    index = built(spark, path, tmp_path)
+    delta = written(frame("silver", DELTA), "delta")
+    index.admit(delta, F.to_date("created_at"), moves=True)  # and then nothing: the run died
+    days = index.admit(delta, F.to_date("created_at"), moves=True)
+    assert rows(days) == {(date(1),), (date(5),), (None,), (date(2),), (date(6),)}
+    tables.upsert_silver(spark, path, delta, TABLE, days=days, is_written=True, replace=True)
+    ids = {r[0] for r in DELTA}
+    assert rows(stored(spark, path).drop("created_date")) == set(DELTA) | {r for r in TARGET if r[0] not in ids}
+
+
+def test_index_of_an_empty_table_and_without_keys(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    write_silver(frame, path, [])
+    index = built(spark, path, tmp_path)
+    nameless = silver_row(None, "created", "10:00", created=day(4))
+    delta = written(frame("silver", [nameless, silver_row("a", "created", "10:00", created=day(1))]), "delta")
+    assert rows(index.of(delta.select("booking_id"))) == set()
+    assert rows(index.admit(delta, F.to_date("created_at"))) == {(date(1),), (date(4),)}
+    assert rows(index.entries(), "booking_id", "day") == {("a", date(1))}
+
+
+def test_folding_keeps_what_lookups_find(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    write_silver(frame, path, TARGET)
+    index = built(spark, path, tmp_path, bucket_rows=2)
+    monkeypatch.setattr(day_index, "CROWDED_FILES", 2)
+    assert not index.crowded()
+    for n in range(5, 10):
+        delta = written(frame("silver", [silver_row(k, "created", "10:00", created=day(n)) for k in ("a", "b")]), "delta")
+        index.admit(delta, F.to_date("created_at"), moves=True)
+    before = rows(index.entries(), "booking_id", "day")
+    assert index.crowded()
+    index.fold()
+    assert not index.crowded()
+    assert rows(index.entries(), "booking_id", "day") == before
+
+
+def test_lookup_reads_only_buckets_of_its_keys(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    write_silver(frame, path, [silver_row(f"k{n}", "created", "10:00", created=day(n % 9 + 1)) for n in range(64)])
+    index = built(spark, path, tmp_path, bucket_rows=4)
+    key = spark.createDataFrame([("k7",)], "booking_id string")
+    bucket = index.entries().where("booking_id = 'k7'").first()["bucket"]
+    found = index.of(key)
+    assert rows(found) == {("k7", date(8))}
+    scans = [line for line in found._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in line]
+    assert index._buckets() == 16
+    assert scans and all("(bucket#" in line and f" = {bucket})" in line for line in scans)

@@ -11,7 +11,7 @@ from test_merge import silver_row
 
 from staymark import schemas
 from staymark.plans.incremental import merge_silver
-from staymark.sinks import locations, tables
+from staymark.sinks import locations, statistics, tables
 
 DAY = T.StructField("created_date", T.DateType())
 TABLE = T.StructType([*schemas.SILVER_BOOKINGS.fields, DAY])
@@ -194,7 +194,7 @@ def test_table_declaration_and_statistics(spark, frame, tmp_path):
     for _ in range(2):
         tables.create_table(spark, "silver_declared", schemas.SILVER_BOOKINGS, path, DAY)
     assert rows(spark.table("silver_declared"), "booking_id") == {("a",), ("b",), ("c",), ("n",)}
-    tables.analyze(spark, "silver_declared")
+    statistics.analyze(spark, "silver_declared")
     described = spark.sql("DESCRIBE EXTENDED silver_declared").collect()
     assert any(r["col_name"] == "Statistics" and "4 rows" in r["data_type"] for r in described)
     tables.drop_table(spark, "silver_declared")
@@ -271,3 +271,51 @@ def test_broken_compaction_is_finished_by_the_next(spark, tmp_path, monkeypatch)
     tables.compact(spark, path, "day", ["id"])
     assert spark.read.parquet(path).agg(F.sum("id")).first()[0] == sum(range(300))
     assert not Path(f"{path}_compacted").exists()
+
+
+def scattered(spark, path):
+    data = spark.range(300).select("id", F.expr("date_add(DATE'2025-01-01', int(id % 3))").alias("day"))
+    data.repartition(5).write.partitionBy("day").parquet(path)
+    return data
+
+
+def test_failed_check_leaves_no_copy_to_swap_in(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    data = scattered(spark, path)
+
+    def differs(*_):
+        raise RuntimeError("the compacted copy differs from its table")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_same_rows", differs)
+        with pytest.raises(RuntimeError, match="differs"):
+            tables.compact(spark, path, "day", ["id"])
+    assert not Path(f"{path}_compacted").exists()
+    # Nor does a copy that a lost driver left before the check.
+    spark.range(1).select("id", F.lit("2025-01-01").cast("date").alias("day"), F.lit(0).alias("_slot")).write.parquet(
+        f"{path}_compacted/rows"
+    )
+    assert len(tables.compact(spark, path, "day", ["id"])) == 3
+    assert rows(spark.read.parquet(path)) == rows(data)
+
+
+def test_stale_copy_does_not_undo_later_writes(spark, tmp_path, monkeypatch):
+    """A run dies between check and swap; a day is written anew; the next run leaves it alone."""
+    path = str(tmp_path / "t")
+    data = scattered(spark, path)
+
+    def lost(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_swap_in", lost)
+        with pytest.raises(OSError):
+            tables.compact(spark, path, "day", ["id"])
+    assert Path(f"{path}_compacted/checked").exists()
+    newer = spark.range(1000, 1005).select("id", F.lit("2025-01-02").cast("date").alias("day"))
+    tables.overwrite_days(newer, path, "day")
+    done = tables.compact(spark, path, "day", ["id"])
+    assert set(done) == {dt.date(2025, 1, 1), dt.date(2025, 1, 3)}
+    want = rows(data.where("day <> DATE'2025-01-02'")) | rows(newer)
+    assert rows(spark.read.parquet(path)) == want
+    assert not Path(f"{path}_compacted").exists()
