@@ -159,6 +159,16 @@ def status_transitions(silver: DataFrame, model: StatusModel = DEFAULT_STATUSES)
     )
 
 
+def freshness(events: DataFrame, as_of: str, within_hours: int) -> DataFrame:
+    """Last event time and whether it lies more than some hours before ``as_of``; a log
+    without a dated event is stale."""
+    bound = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(within_hours))
+    last = F.col("last_event_ts")
+    return events.agg(F.max("event_ts").alias("last_event_ts")).withColumn(
+        "stale", F.coalesce(last < bound, F.lit(True))
+    )
+
+
 # --- reports: one row per check -------------------------------------------------------
 
 

@@ -34,9 +34,8 @@ from staymark.sources.seeds import read_seed, write_seed
 from staymark.statuses import StatusModel
 from staymark.streaming.silver_stream import create_empty_silver, start_silver_stream
 from staymark.streaming.staging_stream import start_event_stream
-from staymark.suite.oracle import BACKFILL, FOUND_IDS, LOST, MARK, RAISED, SINCE, SPARSE_DAYS, TODAY
+from staymark.suite.oracle import AS_OF, BACKFILL, FOUND_IDS, FRESH_HOURS, LOST, MARK, RAISED, SINCE, SPARSE_DAYS, TODAY
 
-AS_OF = "2000-01-01 00:00:00"
 UNCANCELLED = StatusModel(domain=("created", "confirmed"))
 NO_BROADCAST = 0
 
@@ -679,6 +678,7 @@ _QUERIES: dict[str, Callable[[Layers], DataFrame]] = {
     "validation_messages": lambda t: Q.validation_messages(
         t.stored_silver, t.gold_of(unsettled(t.stored_silver))
     ),
+    "dq_freshness": lambda t: Q.freshness(t.events, AS_OF, FRESH_HOURS),
     "dq_declared_tests": lambda t: Q.declared_tests(all_tables(t)),
     # reports and comparisons
     "report_booking_states": lambda t: R.booking_states(t.silver),

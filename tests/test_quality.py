@@ -174,3 +174,12 @@ def test_reports(sound, broken):
         "booking_id", "_raw_snapshot_status", "_raw_event_status", "resolved_to",
     ]
     assert schemas.GOLD_COLUMNS[:2] == R.kpi_listing(gold).columns[:2]
+
+
+def test_freshness(frame):
+    log = frame("events", [("b", "created", at("10:00")), ("b", "created", at("08:00")), ("b", "created", None)])
+    for as_of, stale in (("2025-01-01 12:00:00", False), ("2025-01-01 12:00:01", True), ("2025-01-01 09:00:00", False)):
+        assert rows(Q.freshness(log, as_of, 2)) == {(at("10:00"), stale)}
+    undated = frame("events", [("b", "created", None)])
+    assert rows(Q.freshness(undated, "2025-01-01 00:00:00", 2)) == {(None, True)}
+    assert rows(Q.freshness(undated.limit(0), "2025-01-01 00:00:00", 2)) == {(None, True)}
