@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from staymark.llm import language, near_documents, near_lines, packing, secrets
 from staymark.llm.common import carried, table, uncarried
 from staymark.session import try_out
-from staymark.sinks.locations import new_folder
+from staymark.sinks.locations import delete_folder, new_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,11 +76,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of ``sf_dir``."""
+    """Apply all stages to the documents of ``sf_dir``.
+
+    A stage's table is deleted once the next one is written.
+    """
     try_out(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before is not None:
+            delete_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
