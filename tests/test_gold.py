@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from staymark.plans import gold
 from staymark.plans.incremental import refresh_gold
+from staymark.sinks import tables
 
 
 def booking(n, status, price, *, hotel="h1", created="2025-01-01T10:00"):
@@ -103,3 +104,18 @@ def test_refresh_moves_days_and_drops_empty_ones(spark, frame):
         )
         full = gold.daily_city_kpis(frame("silver", after), hotels, as_of="2025-01-01")
         assert rows(fresh) == rows(full)
+
+
+def test_serving_reads_stored_days_asked_for(spark, frame, tmp_path):
+    """Folders of earlier days are pruned, and only the columns shown are read."""
+    silver = [booking(n, "confirmed", "1.00", created=f"2025-01-0{n}T10:00") for n in range(1, 6)]
+    built = gold.daily_city_kpis(frame("silver", silver), frame("hotels", HOTELS))
+    path = str(tmp_path / "gold")
+    tables.write_table(built, path, partition_by=["booking_date"], sort_by=["city"])
+    for file in (tmp_path / "gold" / "booking_date=2025-01-02").iterdir():
+        file.unlink() if file.suffix == ".crc" else file.write_bytes(b"no parquet")
+    served = gold.serve_kpis(tables.read_table(spark, path, built.schema), "2025-01-03")
+    assert [r["booking_date"].day for r in served.collect()] == [3, 4, 5]
+    plan = served._jdf.queryExecution().executedPlan().toString()
+    schema = plan.partition("ReadSchema: ")[2].split("\n")[0]
+    assert "avg_booking_price" not in schema and "total_bookings" in schema
