@@ -5,13 +5,15 @@ EVERY characters, MOST at most. Such lines are found by segments: a line is cut
 more segment than it has edits, and whatever is as long or longer and within the distance
 holds one of them unchanged, shifted by no more than the distance. So each line is listed
 under its own segments, by its length and the segment's number, and probes the lists of
-all lengths within reach with those of its substrings that may match there. Lines of one
-list are then compared, see ``listed_links``.
+all lengths within reach with those of its substrings that may match there. A line has few own
+keys but up to 265 probes, so probes are dropped where they are made unless a Bloom filter of
+all own keys holds them. Lines of one list are then compared, see ``listed_links``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -54,6 +56,8 @@ def line_keys(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(which lines, a key of each, whether it is of the line's own segments).
 
+    Probes do not repeat a line's own keys.
+
     ``starts`` and ``length`` of lines are in code points. The substrings probed are those
     for which the edits left and right of the segment can add up to those allowed.
     """
@@ -78,7 +82,7 @@ def line_keys(
                 # Segment i has i segments before it that all differ, hence i edits or more
                 # (else an earlier segment is shared), and edits - i at most after it.
                 for shift in range(-edits, edits + 1):
-                    if abs(shift) + abs(shorter - shift) > edits:
+                    if abs(shift) + abs(shorter - shift) > edits or not (shorter or shift):
                         continue
                     if abs(shift) > i or abs(shorter - shift) > edits - i:
                         continue
@@ -88,13 +92,23 @@ def line_keys(
                     yield which[fits], found, False
 
 
-def _lines(documents: DataFrame, threshold: int | None) -> DataFrame:
-    """One row per line with a word: document, number, hash, characters, keys.
+def _hashed(documents: DataFrame) -> DataFrame:
+    return two_columns(documents).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
-    The last two columns are empty for lines too short to be compared.
-    """
 
-    def columns(chunk: Chunk):
+@dataclass
+class _Lines:
+    """The lines with a word of a chunk: text, number, hashes, start and length in characters."""
+
+    text: np.ndarray
+    number: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    at: np.ndarray
+    length: np.ndarray
+
+    @classmethod
+    def of(cls, chunk: Chunk) -> _Lines:
         words, lines = chunk.words(), chunk.lines()
         filled = np.diff(np.searchsorted(words.starts, [lines.starts, lines.ends]), axis=0)[0] > 0
         first = np.searchsorted(lines.text, np.arange(chunk.n))
@@ -104,71 +118,129 @@ def _lines(documents: DataFrame, threshold: int | None) -> DataFrame:
         length = chunk.code_point_at(ends) - at
         low = chunk.hashes().of(starts, ends)
         high = chunk.hashes(SECOND_BASE).of(starts, ends) ^ length.astype(np.uint64)
-        long = np.flatnonzero(length >= SHORTEST)
+        return cls(text, number[filled], low, high, at, length)
+
+    def keys(self, chunk: Chunk, threshold: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """(which lines, a key of each, whether it is of their own segments)."""
+        long = np.flatnonzero(self.length >= SHORTEST)
         codes = Chunk(0, chunk.code_points(), chunk.offsets).hashes()
-        own, probes = [], []
-        for which, keys, is_own in line_keys(codes, at[long], length[long], threshold):
-            (own if is_own else probes).append((long[which], keys.astype(np.int64)))
-        return text, number[filled], low, high, length, own, probes
-
-    def nested(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> pa.Array:
-        none = np.zeros(0, np.int64)
-        line = np.concatenate([none, *[which for which, _ in parts]])
-        values = np.concatenate([none, *[keys for _, keys in parts]])[np.argsort(line, kind="stable")]
-        ends = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=n))]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+        for which, keys, own in line_keys(codes, self.at[long], self.length[long], threshold):
+            yield long[which], keys, own
+
+
+def _lines(documents: DataFrame) -> DataFrame:
+    """One row per line with a word: document, number, hashes, characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column(2)):
-                text, number, low, high, length, own, probes = columns(chunk)
-                rows = pa.array(chunk.first + text)
+                lines = _Lines.of(chunk)
+                rows = pa.array(chunk.first + lines.text)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array(number, pa.int32()),
-                        pa.array(low.astype(np.int64)),
-                        pa.array(high.astype(np.int64)),
-                        pa.array(length, pa.int32()),
-                        nested(own, len(text)),
-                        nested(probes, len(text)),
+                        pa.array(lines.number, pa.int32()),
+                        pa.array(lines.low.astype(np.int64)),
+                        pa.array(lines.high.astype(np.int64)),
+                        pa.array(lines.length, pa.int32()),
                     ],
-                    names=["doc_id", "text_hash", "number", "low", "high", "size", "own", "probes"],
+                    names=["doc_id", "text_hash", "number", "low", "high", "size"],
                 )
 
-    hashed = two_columns(documents).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return hashed.mapInArrow(
-        run,
-        "doc_id long, text_hash long, number int, low long, high long, size int, "
-        "own array<long>, probes array<long>",
+    return _hashed(documents).mapInArrow(
+        run, "doc_id long, text_hash long, number int, low long, high long, size int"
     )
 
 
-def _lists(items: DataFrame) -> DataFrame:
-    """key, item, first, about (length) of the lists that hold a line by its own segment
-    and another line."""
+# Bits of the filter for each of the lines' own keys, and places that a key sets there.
+FILTER_BITS = 8
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+# Bytes of the largest filter; beyond, all probes are shuffled.
+FILTER_BYTES = 32 << 20
+
 
-    def of(column: str, own: bool) -> DataFrame:
-        keys = items.select(
-            F.explode(column).alias("key"), "item", F.col("place.doc_id").alias("first"), F.col("size").alias("about")
-        )
-        return keys.withColumn("own", F.lit(own))
+def _bits(keys: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word, mask) of the places of keys in a filter of ``size`` bits, a power of two."""
+    for factor in _FACTORS:
+        at = (keys * np.uint64(factor)) >> np.uint64(64 - (size.bit_length() - 1))
+        yield (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
 
-    rows = of("own", True).unionByName(of("probes", False))
-    useful = rows.groupBy("key").agg(
-        F.bool_or("own").alias("own"), F.min("item").alias("lo"), F.max("item").alias("hi")
+
+def _filter(documents: DataFrame, own_keys: int, threshold: int | None) -> np.ndarray | None:
+    """A Bloom filter of all lines' own keys; None if it would be too large."""
+    size = 1 << max(12, (FILTER_BITS * own_keys - 1).bit_length())
+    if size // 8 > FILTER_BYTES:
+        return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, masks = [], []
+            for chunk in chunks(batch.column(0)):
+                for _, keys, own in _Lines.of(chunk).keys(chunk, threshold):
+                    for word, mask in _bits(keys, size) if own else ():
+                        words.append(word)
+                        masks.append(mask)
+            if words:
+                word, mask = np.concatenate(words), np.concatenate(masks)
+                order = np.argsort(word, kind="stable")
+                word, at = np.unique(word[order], return_index=True)
+                mask = np.bitwise_or.reduceat(mask[order], at).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask)], ["word", "mask"])
+
+    set_bits = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word long, mask long")
+    found = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()  # a 64th of the filter's bits
+    words = np.zeros(size // 64, np.uint64)
+    words[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    return words
+
+
+def _keyed(documents: DataFrame, words: np.ndarray | None, threshold: int | None) -> DataFrame:
+    """key, low, high, own: each line under the keys of its own segments and, of those that it
+    probes, under what the filter lets pass."""
+    shared = documents.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            for chunk in chunks(batch.column(0)):
+                lines = _Lines.of(chunk)
+                for which, keys, own in lines.keys(chunk, threshold):
+                    if not own and words is not None:
+                        held = np.ones(len(keys), bool)
+                        for word, mask in _bits(keys, 64 * len(words)):
+                            held &= (words[word] & mask) != 0
+                        which, keys = which[held], keys[held]
+                    if len(which):
+                        columns = [keys, lines.low[which], lines.high[which]]
+                        yield pa.RecordBatch.from_arrays(
+                            [*[pa.array(c.astype(np.int64)) for c in columns], pa.array(np.full(len(which), own))],
+                            ["key", "low", "high", "own"],
+                        )
+
+    texts = documents.select(F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "key long, low long, high long, own boolean")
+
+
+def _lists(documents: DataFrame, items: DataFrame, threshold: int | None, kept: Kept) -> DataFrame:
+    """key, item, first, about (length) of the lists that hold a line by its own segment
+    and another line."""
+    edits = f"least(size div {EVERY}, {MOST})" if threshold is None else str(threshold)
+    counted = items.where(F.col("size") >= SHORTEST).agg(F.sum(F.expr(f"{edits} + 1")).alias("n")).first()["n"]
+    keyed = kept.write(_keyed(documents, _filter(documents, counted or 0, threshold), threshold), "keyed")
+    line = F.col("low").bitwiseXOR(F.col("high"))
+    useful = keyed.groupBy("key").agg(
+        F.bool_or("own").alias("own"), F.min(line).alias("lo"), F.max(line).alias("hi")
     )
     useful = useful.where("own AND lo <> hi").select("key")
-    return rows.drop("own").join(useful, "key").groupBy("key", "item").agg(
-        F.min("first").alias("first"), F.min("about").alias("about")
-    )
+    entries = keyed.join(useful, "key").select("key", "low", "high").distinct()
+    about = items.select("low", "high", "item", F.col("place.doc_id").alias("first"), F.col("size").alias("about"))
+    return entries.join(about, ["low", "high"]).drop("low", "high")
 
 
 def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """item and its line, for items with a place (text_hash, number)."""
-    hashed = two_columns(documents).select(F.xxhash64("text").alias("text_hash"), "text")
-    met = hashed.join(broadcast_if_fits(wanted), "text_hash")
+    met = _hashed(documents).join(broadcast_if_fits(wanted), "text_hash")
     line = F.get(F.split("text", "\n", -1), F.col("number"))
     return met.select("item", line.alias("line")).groupBy("item").agg(F.min("line").alias("line"))
 
@@ -197,17 +269,15 @@ def repeated_lines(
     repetition. ``near`` tells removed lines that equal no line that stays.
     """
     kept = kept or Kept(documents.sparkSession)
-    lines = kept.write(_lines(documents, threshold), "lines")
+    lines = kept.write(_lines(documents), "lines")
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "number", "text_hash")
     # One item per distinct line: copies end here, aggregated before the shuffle.
     items = lines.groupBy("low", "high").agg(
-        F.min(place).alias("place"),
-        F.first("size").alias("size"),
-        F.first("own").alias("own"),
-        F.first("probes").alias("probes"),
+        F.min(place).alias("place"), F.first("size").alias("size")
     )
     items = kept.write(items.withColumn("item", F.monotonically_increasing_id()), "items")
-    listed = kept.write(_lists(items), "lists")
+    listed = kept.write(_lists(documents, items, threshold, kept), "lists")
+    kept.drop("keyed")
 
     def check(pairs: DataFrame) -> DataFrame:
         pairs = kept.write(pairs, "pairs")

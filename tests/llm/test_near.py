@@ -307,3 +307,20 @@ def test_vectors_of_any_magnitude(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors.near_vectors(df).collect()}
     assert got == {i: (5, 1) for i in range(1, 7)} | {7: (1, 7), 8: (1, 7), 9: (0, 9)}
+
+
+@pytest.mark.parametrize("bits, most", [(1, 32 << 20), (8, 0)])
+def test_filter_of_own_keys_loses_no_line(documents, monkeypatch, bits, most):
+    """Few bits let more probes pass, and no filter all of them; the lines found are the same."""
+    rng = random.Random(bits)
+    base = ["".join(rng.choice("abcdefg hij") for _ in range(rng.randrange(32, 300))) for _ in range(60)]
+    lines = []
+    for line in base:
+        at = rng.randrange(len(line) - 2)
+        lines += [line, line[:at] + "X" + line[at + rng.randrange(3) :]]
+    df = documents(list(enumerate(lines)))
+    want = sorted(map(tuple, near_lines.repeated_lines(df).collect()))
+    assert len(want) >= 40
+    monkeypatch.setattr(near_lines, "FILTER_BITS", bits)
+    monkeypatch.setattr(near_lines, "FILTER_BYTES", most)
+    assert sorted(map(tuple, near_lines.repeated_lines(df).collect())) == want

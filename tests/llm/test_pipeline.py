@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from staymark.llm import language
+from staymark.llm import language, near_lines
 
 from .test_near import Groups, removed_lines, shingles, similar
 
@@ -124,3 +124,32 @@ def test_run_is_its_stages(spark, documents, tmp_path):
 def test_empty(spark, documents, tmp_path):
     documents([]).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_line_stage_takes_near_lines(spark, documents, tmp_path):
+    """Lines of up to 8 edits by length go, one edit more stays; documents left empty go too."""
+    rng = random.Random(10)
+
+    def line(size):
+        return "".join(rng.choice("abcdefgh ijklmnop") for _ in range(size)).strip() + "z"
+
+    def edited(text, edits):
+        chars = list(text)
+        for at in rng.sample(range(len(chars) - 1), edits):
+            chars[at] = rng.choice("QRSTUV")
+        return "".join(chars)
+
+    rows, want = [], {}
+    for n, size in enumerate((40, 70, 100, 140, 170, 200, 230, 260, 400)):
+        text, own = line(size), line(90)
+        most = min(len(text) // near_lines.EVERY, near_lines.MOST)
+        far = edited(text, most + 1)
+        key = 10 * n
+        rows += [(key, f"{text}\nfirst {n}"), (key + 1, f"{edited(text, most)}\n{own}"), (key + 2, f"{far}\nlast {n}"),
+                 (key + 3, edited(own, 1))]
+        want |= {key: rows[-4][1], key + 1: own, key + 2: rows[-2][1]}
+    stage = dict(corpus_pipeline.STAGES)["lines"]
+    found = stage(spark, documents(rows), str(tmp_path)).collect()
+    # Chains may join lines that are farther apart; here none are.
+    assert {r.doc_id: r.text for r in found} == want
+    assert all(r.n_chars == len(r.text) for r in found if r.doc_id % 10 == 1)
