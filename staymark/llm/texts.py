@@ -61,20 +61,19 @@ def _bases(seed: int) -> list[int]:
     return [int(b) for b in rng.integers(1 << 20, _PRIME - 1, 2)]
 
 
-def _made_powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _run(base, size), _run(pow(base, -1, _PRIME), size)
+def _made_powers(base: int, size: int) -> np.ndarray:
+    return _run(base, size).astype(np.uint32)
 
 
 _kept_powers = lru_cache(maxsize=8)(_made_powers)
 
 
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse. Those of usual sizes are kept, those that a
-    very long text needs are not."""
+def _powers(base: int, size: int) -> np.ndarray:
+    """Powers of a base. Those of usual sizes are kept, those that a very long text needs
+    are not."""
     if size > 2 * CHUNK_BYTES:
         return _made_powers(base, size)
-    power, inverse = _kept_powers(base, 1 << max(16, (size - 1).bit_length()))
-    return power[:size], inverse[:size]
+    return _kept_powers(base, 1 << max(16, (size - 1).bit_length()))
 
 
 @dataclass
@@ -151,18 +150,20 @@ class RangeHash:
     def __init__(self, data: np.ndarray, seed: int = _BASE):
         values, size = data.astype(np.uint64) + np.uint64(1), len(data)
         wide = data.dtype.itemsize > 1 or size > 1 << 22  # sums would leave 64 bits
-        self._parts = []
+        self._size, self._parts = size, []
         for base in _bases(seed):
-            power, inverse = _powers(base, size + 1)
+            power = _powers(base, size + 1)
             terms = values * power[:size]
             sums = np.zeros(size + 1, np.uint64)
             np.cumsum(_reduced(terms) if wide else terms, out=sums[1:])
-            self._parts.append((sums, inverse))
+            self._parts.append((sums, power, np.uint64(pow(base, -size, _PRIME))))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        found = [
-            _reduced(_reduced(sums[ends] - sums[starts]) * inverse[starts]) for sums, inverse in self._parts
-        ]
+        found = []
+        for sums, power, back in self._parts:
+            # Moved up to the end of the array, whose power is then taken off all alike.
+            moved = _reduced(_reduced(sums[ends] - sums[starts]) * power[self._size - starts])
+            found.append(_reduced(moved * back))
         return mix((found[0] << np.uint64(31)) | found[1])
 
 
