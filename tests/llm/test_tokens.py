@@ -181,3 +181,26 @@ def test_odd_texts_in_words(documents, word_tokenizer):
     for key, text in enumerate(ODD):
         ids = word_tokenizer.encode(text, add_special_tokens=False).ids
         assert got[key] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), text
+
+
+def test_halves_of_one_long_word_are_leaves_of_any_task(spark, documents, word_tokenizer):
+    """Words of a million characters, between and inside other text: encoded in parts by
+    several tasks, joined to what the library makes of the whole."""
+    rng = random.Random(11)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    rows = [
+        (1, word),
+        (2, "some words, " + word[:300_000] + "123..." + word[300_000:500_000] + " and more"),
+        (3, "日本" * 60_000 + "é" * 70_000),
+        (4, "x" * 200_000 + "<|endoftext|>" + "y" * 10),
+        (5, ("word. " * 30_000) + word[:90_000] + "İ" * 70_000),
+    ]
+    made = word_bpe.WordBpe(WORDS)
+    leaves = list(made.leaves(word))
+    assert len(leaves) == 16 and {kind for kind, _, _ in leaves} == {"piece", "last"}
+    got = {r.doc_id: tuple(r)[1:] for r in word_bpe.encode_decode(documents(rows), WORDS).collect()}
+    for key, text in rows:
+        ids = word_tokenizer.encode(text, add_special_tokens=False).ids
+        decoded = word_tokenizer.decode(ids, skip_special_tokens=False)
+        digests = [hashlib.sha256(t.encode()).hexdigest() for t in (" ".join(map(str, ids)), decoded)]
+        assert got[key] == (len(ids), *digests), key
