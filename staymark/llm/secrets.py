@@ -8,6 +8,7 @@ asks for no trigram is searched for in all texts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from staymark.llm.common import Kept, carried, uncarried
 from staymark.llm.trigrams import required, trigrams
+from staymark.operators.sizing import broadcast_if_fits
 
 MASK = "[secret]"
 
@@ -50,6 +52,8 @@ MORE = (
     Rule("login_url", r"://[^\s/:@]+:[^\s/:@]{3,}@"),
 )
 RULES = (*BASE, *MORE)
+# Matches of a text that are put in place at once.
+BLOCK = 256
 
 
 def _hashed(documents: DataFrame) -> DataFrame:
@@ -112,10 +116,36 @@ def _matches(rule: Rule, number: int) -> Column:
             F.when(done, made["spans"]).otherwise(spans).alias("spans"),
         )
 
-    parts = F.arrays_zip(*columns)
-    none = F.expr("CAST(array() AS ARRAY<STRUCT<start: BIGINT, number: INT, end: BIGINT>>)")
-    first = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
-    return F.aggregate(parts, first, step, lambda made: made["spans"])
+    # Appending copies an array, so it is done in blocks, which are then moved to their place.
+    first = F.struct(F.lit(0).cast("long").alias("at"), _no_spans().alias("spans"))
+
+    def in_blocks(parts: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(parts), F.lit(BLOCK))
+        return F.transform(firsts, lambda at: F.aggregate(F.slice(parts, at, F.lit(BLOCK)), first, step))
+
+    def moved(block: Column, at: Column) -> Column:
+        return F.transform(
+            block["spans"],
+            lambda s: F.struct((s["start"] + at).alias("start"), s["number"].alias("number"), (s["end"] + at).alias("end")),
+        )
+
+    def in_place(blocks: Column) -> Column:
+        nowhere = F.array(F.lit(0).cast("long"))
+        places = F.aggregate(
+            blocks, nowhere, lambda made, block: F.concat(made, F.array(F.element_at(made, -1) + block["at"]))
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(places, F.lit(1), F.size(blocks)), moved))
+
+    return _once(_once(F.arrays_zip(*columns), in_blocks), in_place)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once however often it is named there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _no_spans() -> Column:
+    return F.expr("CAST(array() AS ARRAY<STRUCT<start: BIGINT, number: INT, end: BIGINT>>)")
 
 
 def scan(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -129,9 +159,9 @@ def scan(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     kept = Kept(documents.sparkSession)
     documents = documents.drop("text_hash", "clauses", "spans")
     index = kept.write(postings(documents, rules), "postings")
-    found = candidates(index, rules)
-    joined = _hashed(documents).join(found, "text_hash", "left")
-    none = F.expr("CAST(array() AS ARRAY<STRUCT<start: BIGINT, number: INT, end: BIGINT>>)")
+    found = kept.write(candidates(index, rules), "candidates")
+    kept.drop("postings")
+    joined = _hashed(documents).join(broadcast_if_fits(found), "text_hash", "left")
     spans, bit = [], 0
     for number, rule in enumerate(rules):
         mask = 0
@@ -140,7 +170,7 @@ def scan(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         may = F.rlike("text", F.lit(rule.pattern))
         if mask:
             may = (F.coalesce("clauses", F.lit(0)).bitwiseAND(F.lit(mask)) == mask) & may
-        spans.append(F.when(may, _matches(rule, number)).otherwise(none))
+        spans.append(F.when(may, _matches(rule, number)).otherwise(_no_spans()))
     return joined.withColumn("spans", F.array_sort(F.concat(*spans))).drop("text_hash", "clauses")
 
 

@@ -312,3 +312,20 @@ def test_language_agrees_with_plain_compression(documents):
         assert abs(got[i].score - 1 / sum(math.exp(best - s) if s - best < 700 else 0.0 for s in sizes.values())) < 1e-9
         narrow += got[i].rejected
     assert 0 < narrow < 40
+
+
+@pytest.mark.parametrize("block", [1, 2, 256])
+def test_many_matches_in_one_text(documents, monkeypatch, block):
+    """Matches put in place block by block; a dump of tens of thousands takes no square of them."""
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    rng = random.Random(block)
+    n = 30_000 if block == 256 else 600
+    lines = [f"{rng.randbytes(10).hex()} é token = '{rng.randbytes(rng.randrange(2, 9)).hex()}'" for _ in range(n)]
+    text = "\n".join(lines)
+    row = secrets.report(documents([(1, text)])).first()
+    hexes = [m.span() for m in re.finditer(r"[0-9a-f]{16,}", text)]
+    assigned = [m.span() for m in re.finditer(r"token = '([0-9a-f.]+)", text) if len(m[1]) >= 12]
+    spans = sorted([(s, 2, e) for s, e in hexes] + [(s, 0, e) for s, e in assigned])
+    assert (row.n_hex, row.n_assign) == (len(hexes), len(assigned))
+    told = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in spans)
+    assert row.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
