@@ -63,18 +63,17 @@ def op6_quality(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def url_events(pages: DataFrame) -> DataFrame:
-    """A dated list for the pages' own hosts and first path parts, from their digests."""
+    """A dated list of the pages' own domains, hosts and path prefixes of every depth, with
+    days and verdicts drawn from their digests."""
     url = F.col("url")
     named = F.filter(url_lists.keys(url), lambda k: F.contains(k, F.lit(".")) | F.contains(k, F.lit("/")))
-    # Domains, hosts, and host with one path part: deeper prefixes are single pages.
     entries = pages.select(F.explode(named).alias("entry")).distinct()
-    entries = entries.where(F.size(F.split("entry", "/")) <= 2)
 
     def digits(first: int):
         return F.conv(F.substring(F.md5(F.col("entry").cast("binary")), first, 4), 16, 10).cast("int")
 
     start = F.lit("2024-01-01").cast("date")
-    drawn = entries.select("entry", digits(1).alias("a"), digits(5).alias("b")).where("a % 3 = 0")
+    drawn = entries.select("entry", digits(1).alias("a"), digits(5).alias("b"))
     added = F.date_add(start, F.floor(F.col("a") / 3).cast("int") % 200)
     removed = F.date_add(added, 30 + F.col("b") % 90)
     verdict = F.when(F.col("b") % 4 != 0, "block").otherwise("allow")

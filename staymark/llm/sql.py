@@ -25,12 +25,12 @@ WITH parsed AS (
   )) AS entry FROM split
 ), entries AS (
   SELECT DISTINCT entry FROM covering
-  WHERE (contains(entry, '.') OR contains(entry, '/')) AND len(string_split(entry, '/')) <= 2
+  WHERE contains(entry, '.') OR contains(entry, '/')
 ), drawn AS (
   SELECT entry, ('0x' || substr(md5(entry), 1, 4))::INTEGER AS a,
     ('0x' || substr(md5(entry), 5, 4))::INTEGER AS b FROM entries
 ), dated AS (
-  SELECT *, DATE '2024-01-01' + (a // 3) % 200 AS added FROM drawn WHERE a % 3 = 0
+  SELECT *, DATE '2024-01-01' + (a // 3) % 200 AS added FROM drawn
 ), events AS (
   SELECT entry, added AS day, CASE WHEN b % 4 <> 0 THEN 'block' ELSE 'allow' END AS verdict FROM dated
   UNION ALL SELECT entry, added + 30 + b % 90, NULL FROM dated WHERE b % 5 <> 0
