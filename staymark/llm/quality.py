@@ -18,14 +18,13 @@ from pyspark.sql import functions as F
 
 from staymark.llm.common import two_columns
 from staymark.llm.texts import Chunk, chunks, mix, windows
+from staymark.operators.sizing import BROADCAST_BYTES, fits_broadcast
+from staymark.sinks.locations import staged
 
 # Bytes of an n-gram; hash buckets; weight added to each bucket of either multinomial.
 GRAM = 3
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-# Labelled rows that the trusted multinomial and the threshold are fitted on, at most
-# about this many, drawn by the hash of doc_id.
-LABELLED_ROWS = 20_000
 # Scores are compared with thresholds of this grid.
 GRID = 0.005
 # How much a lost trusted text weighs against a kept text that is toxic or of low quality.
@@ -86,26 +85,33 @@ def _ratios(trusted: np.ndarray, corpus: np.ndarray) -> np.ndarray:
     return logs(trusted) - logs(corpus)
 
 
-def labelled_sample(labels: DataFrame) -> DataFrame:
-    """doc_id and trusted (neither of low quality nor toxic) of a bounded sample of the
-    labels. A document with both labels counts as of low quality.
+def trust(labels: DataFrame) -> DataFrame:
+    """doc_id and trusted (neither of low quality nor toxic) of every labelled document.
+    A document with both labels counts as of low quality.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
     toxic = F.coalesce(F.col("toxic"), F.lit(0)) != 0 if "toxic" in labels.columns else F.lit(False)
-    share = min(1.0, LABELLED_ROWS / max(1, known.count()))
-    drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return drawn.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
+    return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         ((F.min("quality") == 1) & ~F.bool_or(toxic)).alias("trusted"),
     )
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> Model:
     """Multinomials over all documents and over the labelled trusted ones, and the
     threshold on the grid with the least weighted errors on the labelled ones (in the
-    middle, if several have)."""
-    texts = two_columns(documents)
-    sample = F.broadcast(labelled_sample(labels))  # LABELLED_ROWS rows of 10 bytes
-    labelled = texts.join(sample, "doc_id")
+    middle, if several have).
+
+    Every label counts. Where they are measured to fit, they are broadcast; else texts and
+    labels are shuffled to meet, once, and the labelled texts are written.
+    """
+    texts, known = two_columns(documents), trust(labels)
+    if fits_broadcast(known, broadcast_bytes):
+        return _fitted(texts, texts.join(F.broadcast(known), "doc_id"))
+    with staged(texts.join(known.hint("shuffle_hash"), "doc_id"), "labelled") as labelled:
+        return _fitted(texts, labelled)
+
+
+def _fitted(texts: DataFrame, labelled: DataFrame) -> Model:
     both = {"corpus": texts, "trusted": labelled.where("trusted")}
     found = {}
     for name, frame in both.items():
@@ -123,13 +129,14 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     ).collect()
     if not any(r["bad"] for r in rows):
         return model
-    bins = sorted((int(r["bin"]), r["good"], r["bad"]) for r in rows)
-    lowest, highest = bins[0][0], bins[-1][0] + 1
-    errors = []
-    for least in range(lowest, highest + 1):
-        lost = sum(good for at, good, _ in bins if at < least)
-        errors.append(TRUST * lost + sum(bad for at, _, bad in bins if at >= least))
-    best = [lowest + i for i, e in enumerate(errors) if e == min(errors)]
+    bins = np.array(sorted((int(r["bin"]), r["good"], r["bad"]) for r in rows), np.int64)
+    at, lowest = bins[:, 0], int(bins[0, 0])
+    # By the first bin kept, up to none: the good ones below it, the bad ones from it on.
+    first = np.searchsorted(at, np.arange(lowest, at[-1] + 2))
+    good, bad = np.cumsum(np.vstack([[0, 0], bins[:, 1:]]), axis=0).T
+    errors = (TRUST * good[first] + bad[-1] - bad[first]).tolist()
+    least = min(errors)
+    best = [lowest + i for i, e in enumerate(errors) if e == least]
     run = [b for i, b in enumerate(best) if b - best[0] == i]  # first stretch of them
     model.threshold = (run[len(run) // 2] - 0.5) * GRID
     return model

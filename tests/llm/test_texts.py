@@ -131,6 +131,19 @@ def test_score_is_the_mean_log_ratio(spark, documents):
     assert scores[3] == 0.0
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_every_label_counts(spark, documents, options):
+    """Labels of other documents, however many, change nothing."""
+    rng = random.Random(5)
+    good = [(i, text_of(rng, "aa", rng.randint(30, 80))) for i in range(40)]
+    bad = [(i, text_of(rng, "bb", rng.randint(30, 80))) for i in range(40, 80)]
+    df, own = documents(good + bad), labels_of(spark, [(i, int(i < 40), 0) for i in range(80)])
+    others = spark.range(1000, 101_000).selectExpr("id", "cast(id % 2 as int)", "0")
+    few, many = quality.fit(df, own), quality.fit(df, own.union(others), **options)
+    assert (many.ratios == few.ratios).all()
+    assert many.threshold == few.threshold
+
+
 def test_awkward_quality(spark, documents):
     df = documents(AWKWARD, extra=True)
     model = quality.fit(df, labels_of(spark, [(4, 1, 0), (5, 0, 0), (None, 1, 0), (6, None, 1)]))
