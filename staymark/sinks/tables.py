@@ -231,7 +231,7 @@ def overwrite_days(
     emptied = []
     if answers_for is not None:
         gone = rows_without(answers_for.toDF("_day").distinct(), df.select(day).distinct(), "_day")
-        emptied = [row["_day"] for row in gone.toLocalIterator()]
+        emptied = [row["_day"] for row in gone.collect()]  # one value for each partition removed
     _write(df, path, [day], sort_by, file_bytes, "dynamic")
     for gone_day in emptied:
         delete_folder(df.sparkSession, partition_folder(path, day, gone_day))

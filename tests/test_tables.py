@@ -91,6 +91,28 @@ def test_overwrite_days(spark, frame, tmp_path):
     assert folders(path) == {"2025-01-01", "2025-01-02", "2025-01-04"}
 
 
+def test_overwrite_takes_few_jobs_however_many_partitions(spark, frame, tmp_path):
+    """As in a batch of a stream, where nothing puts small partitions together."""
+    path, tracker = str(tmp_path / "t"), spark.sparkContext.statusTracker()
+    old = [silver_row(f"d{n}", "created", "10:00", created=day(n)) for n in range(1, 5)]
+    write_silver(frame, path, old)
+    new = tables.with_day(frame("silver", old[1:2]), "created_at", "created_date")
+    asked = stored(spark, path).select("created_date")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.adaptive.enabled": ("false", "true"), "spark.sql.shuffle.partitions": ("40", before)}
+    for name, (value, _) in settings.items():
+        spark.conf.set(name, value)
+    spark.sparkContext.setJobGroup("overwrite", "")
+    try:
+        tables.overwrite_days(new, path, "created_date", answers_for=asked)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, (_, value) in settings.items():
+            spark.conf.set(name, value)
+    assert folders(path) == {"2025-01-02"}
+    assert len(tracker.getJobIdsForGroup("overwrite")) < 20
+
+
 TARGET = [
     silver_row("a", "created", "10:00", created=day(1)),
     silver_row("b", "created", "10:00", created=day(2)),
