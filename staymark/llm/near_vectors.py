@@ -31,6 +31,8 @@ LEAST_IN_NODE = 16
 # Distance from the border within which a vector goes to both sides, times the root of
 # the dimension (a projection of a unit vector varies by one over that root).
 SPILL = 0.08
+# Vectors put into leaves at once: each comes out a dozen times.
+PLACED_ROWS = 512
 # Leaves are compared in blocks of about this many vectors.
 BLOCK = 512
 SEED = 20_240_601
@@ -106,23 +108,30 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+def _in_leaves(frame: pd.DataFrame, forests: dict[int, Forest]) -> Iterator[pd.DataFrame]:
+    """The rows of ``frame`` once for each leaf, PLACED_ROWS of them at a time."""
+    for size, of_size in frame.groupby(frame["embedding"].map(len)):
+        for first in range(0, len(of_size), PLACED_ROWS):
+            part = of_size.iloc[first : first + PLACED_ROWS]
+            row, code = forests[size].leaves(_unit(part["embedding"]))
+            order = np.lexsort([code, row])
+            row, code = row[order], code[order]
+            bounds = np.searchsorted(row, np.arange(len(part) + 1))
+            every = [code[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            out = part.iloc[row].copy()
+            out["label"] = out["label"].to_numpy(object)
+            out["leaf"], out["size"] = code, size
+            out["leaves"] = [every[r] for r in row]
+            yield out
+
+
 def _placed(items: DataFrame, forests: dict[int, Forest]) -> DataFrame:
     """A row for each item and leaf: leaf, item, and what a comparison needs."""
     shared = items.sparkSession.sparkContext.broadcast(forests)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for size, part in frame.groupby(frame["embedding"].map(len)):
-                row, code = shared.value[size].leaves(_unit(part["embedding"]))
-                order = np.lexsort([code, row])
-                row, code = row[order], code[order]
-                bounds = np.searchsorted(row, np.arange(len(part) + 1))
-                every = [code[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                out = part.iloc[row].copy()
-                out["label"] = out["label"].to_numpy(object)
-                out["leaf"], out["size"] = code, size
-                out["leaves"] = [every[r] for r in row]
-                yield out
+            yield from _in_leaves(frame, shared.value)
 
     return items.select("item", "label", "copies", "embedding").mapInPandas(
         run,

@@ -6,6 +6,8 @@ import math
 import random
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -324,3 +326,16 @@ def test_filter_of_own_keys_loses_no_line(documents, monkeypatch, bits, most):
     monkeypatch.setattr(near_lines, "FILTER_BITS", bits)
     monkeypatch.setattr(near_lines, "FILTER_BYTES", most)
     assert sorted(map(tuple, near_lines.repeated_lines(df).collect())) == want
+
+
+def test_vectors_are_put_into_leaves_a_few_at_a_time():
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(1500, 8))
+    forests = {8: near_vectors.fit(near_vectors._unit(pd.Series(list(vectors))), 100_000)}
+    frame = pd.DataFrame({"item": range(1500), "label": "a", "copies": 1, "embedding": list(vectors)})
+    made = list(near_vectors._in_leaves(frame, forests))
+    assert max(out["item"].nunique() for out in made) <= near_vectors.PLACED_ROWS
+    placed = pd.concat(made)
+    row, code = forests[8].leaves(near_vectors._unit(frame["embedding"]))
+    assert sorted(zip(placed["item"], placed["leaf"], strict=True)) == sorted(zip(row, code, strict=True))
+    assert (placed["leaves"].map(len) == placed.groupby("item")["leaf"].transform("size")).all()
