@@ -19,7 +19,11 @@ values name items that may be similar:
 - The sketch of the union of two sets estimates their similarity and drops most pairs.
 - The rest is decided on the full sets of the whole texts.
 
-Lists are worked off without taking all pairs, see ``listed_links``.
+Lists are worked off without taking all pairs, see ``listed_links``. Sketches are too small to
+tell similarities little below 0.75 from it, and of many heavily edited copies of one text most
+pairs have such. So the items that hub rounds on these lists leave undecided are listed
+anew, each under the rarest shingles of its full set (``full_lists``): of two sets one of which
+shares less than three quarters of its own with all others, no pair is made.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staymark.llm.common import Kept, two_columns
@@ -148,6 +152,46 @@ def _estimated(pairs: DataFrame, items: DataFrame) -> DataFrame:
     return met.where(common >= need).select("a", "b")
 
 
+# Of the shingles of two sets at 0.75, at least 3/7 of both sizes are shared: the one of a list,
+# if it is the first that they share, and those that come after it in both.
+FITS_FULLY = (
+    "4 * least(x.about.n, y.about.n) >= 3 * greatest(x.about.n, y.about.n) "
+    "AND 7 * (1 + least(x.about.n - x.about.at, y.about.n - y.about.at)) >= 3 * (x.about.n + y.about.n)"
+)
+
+
+def full_lists(texts: DataFrame) -> DataFrame:
+    """key, item, first, about: each item under the rarest shingles of its full set, as many as
+    two sets of similarity 0.75 may differ by and one more.
+
+    ``texts`` has item and text. Shingles are in one order for all, by how many of these items
+    hold them; the first one that two similar sets share is so early in both. The place in
+    that order is part of about.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(1)):
+                items = batch.column(0)[chunk.first : chunk.first + chunk.n]
+                for item, s in zip(items, shingle_sets(chunk, WIDTH), strict=True):
+                    n = len(s)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(item, n), pa.repeat(pa.scalar(n, pa.int64()), n), pa.array(s.view(np.int64))],
+                        names=["item", "n", "key"],
+                    )
+
+    held = texts.select("item", "text").mapInArrow(run, "item long, n long, key long")
+    often = held.groupBy("key").agg(F.count("*").alias("often")).where("often > 1")
+    mine = Window.partitionBy("item")
+    # Those that no other item holds come first.
+    place = F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("often", "key"))
+    placed = held.join(often, "key").select("key", "item", "n", place.alias("at"))
+    early = placed.where(f"at <= n - ceil({PERCENT} * n / 100) + 1")
+    return early.select(
+        "key", "item", F.xxhash64("item").alias("first"), F.struct("n", "at").alias("about")
+    )
+
+
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """item and a text with its set, for the items wanted."""
     hashed = two_columns(documents).select(F.xxhash64("text").alias("text_hash"), "text")
@@ -197,14 +241,18 @@ def near_documents(documents: DataFrame) -> DataFrame:
     items = kept.write(items.withColumn("item", F.monotonically_increasing_id()), "items")
     listed = kept.write(lists(items), "lists")
 
+    def texts_of(some: DataFrame) -> DataFrame:
+        return kept.write(_texts(documents, some.join(items.select("item", "text_hash"), "item")), "texts")
+
     def check(pairs: DataFrame) -> DataFrame:
         passed = kept.write(_estimated(pairs, items), "passed")
-        ends = passed.select(F.explode(F.array("a", "b")).alias("item")).distinct()
-        wanted = ends.join(items.select("item", "text_hash"), "item")
-        texts = kept.write(_texts(documents, wanted), "texts")
-        return _verified(passed, texts)
+        ends = passed.select("a").unionByName(passed.select(F.col("b").alias("a"))).distinct()
+        return _verified(passed, texts_of(ends.withColumnRenamed("a", "item")))
+
+    def narrow(undecided: DataFrame) -> tuple[DataFrame, str]:
+        return full_lists(texts_of(undecided)), FITS_FULLY
 
-    found = linked(listed, check, kept, FITS, PAIRS_PER_ENTRY)
+    found = linked(listed, check, kept, FITS, PAIRS_PER_ENTRY, narrow)
     grouped = items.join(found, items["item"] == found["node"], "left").select(
         "digest", "first_id", F.coalesce("component", "item").alias("component")
     )

@@ -122,6 +122,33 @@ def test_near_documents_about_as_long_as_a_sketch(documents):
     assert 100 < sum(linked) < len(linked)
 
 
+def test_heavily_edited_copies_are_not_paired_with_each_other(documents, monkeypatch):
+    """Sketches let most pairs of such copies pass; few of them get as far as their texts."""
+    rng, base = random.Random(6), [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(300):
+        words = base[:]
+        for _ in range(rng.choice([1, 2, 3, 4, 5, 7, 8])):
+            words[rng.randrange(120)] = f"e{i} {rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    groups, sets = Groups(range(300)), [shingles(t) for t in texts]
+    for i in range(300):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                groups.join(i, j)
+    checked, verified = [], near_documents._verified
+
+    def counting(pairs, read):
+        checked.append(pairs.count())
+        return verified(pairs, read)
+
+    monkeypatch.setattr(near_documents, "_verified", counting)
+    got = {r.doc_id: r.component_id for r in near_documents.near_documents(documents(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(300)] == [groups.find(i) for i in range(300)]
+    assert 50 < len(set(got.values())) < 250
+    assert sum(checked) < 10 * 300
+
+
 def test_awkward_documents(documents):
     rows = near_documents.near_documents(documents(AWKWARD, extra=True)).collect()
     assert len(rows) == len(AWKWARD)
