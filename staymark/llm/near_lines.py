@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from staymark.llm.common import Kept, two_columns
@@ -52,11 +52,11 @@ def segments(length: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarra
 
 
 def line_keys(
-    codes_hash, starts: np.ndarray, length: np.ndarray, threshold: int | None
+    codes_hash, starts: np.ndarray, length: np.ndarray, threshold: int | None, probes: bool = True
 ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(which lines, a key of each, whether it is of the line's own segments).
 
-    Probes do not repeat a line's own keys.
+    Probes do not repeat a line's own keys; without ``probes`` there are no others.
 
     ``starts`` and ``length`` of lines are in code points. The substrings probed are those
     for which the edits left and right of the segment can add up to those allowed.
@@ -67,7 +67,7 @@ def line_keys(
         return mix(codes_hash.of(at, at + size) ^ mix(salt))
 
     for edits in range(MOST + 1) if threshold is None else [threshold]:
-        for shorter in range(edits + 1):
+        for shorter in range(edits + 1 if probes else 1):
             # The lines looked for are that much shorter, and theirs are the edits allowed.
             reach = (length - shorter >= SHORTEST) & (allowed(length - shorter, threshold) == edits)
             which = np.flatnonzero(reach)
@@ -81,7 +81,7 @@ def line_keys(
                 # Shift s: s edits before the segment and shorter - s after it, at least.
                 # Segment i has i segments before it that all differ, hence i edits or more
                 # (else an earlier segment is shared), and edits - i at most after it.
-                for shift in range(-edits, edits + 1):
+                for shift in range(-edits, edits + 1) if probes else ():
                     if abs(shift) + abs(shorter - shift) > edits or not (shorter or shift):
                         continue
                     if abs(shift) > i or abs(shorter - shift) > edits - i:
@@ -120,11 +120,17 @@ class _Lines:
         high = chunk.hashes(SECOND_BASE).of(starts, ends) ^ length.astype(np.uint64)
         return cls(text, number[filled], low, high, at, length)
 
-    def keys(self, chunk: Chunk, threshold: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-        """(which lines, a key of each, whether it is of their own segments)."""
+    def keys(
+        self, chunk: Chunk, threshold: int | None, probes: bool = True
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """(which lines, a key of each, whether it is of their own segments), equal lines once."""
         long = np.flatnonzero(self.length >= SHORTEST)
-        codes = Chunk(0, chunk.code_points(), chunk.offsets).hashes()
-        for which, keys, own in line_keys(codes, self.at[long], self.length[long], threshold):
+        long = long[np.lexsort((self.low[long], self.high[long]))]
+        low, high = self.low[long], self.high[long]
+        long = np.sort(long[np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(long)]])
+        # What shares a key is compared, so one polynomial does.
+        codes = Chunk(0, chunk.code_points(), chunk.offsets).hashes(polynomials=1)
+        for which, keys, own in line_keys(codes, self.at[long], self.length[long], threshold, probes):
             yield long[which], keys, own
 
 
@@ -158,84 +164,91 @@ FILTER_BITS = 8
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 # Bytes of the largest filter; beyond, all probes are shuffled.
 FILTER_BYTES = 32 << 20
+# Bytes of one of Spark's bitmaps; the filter is a run of them. So many are passed on at once.
+BITMAP = 4096
+_BITMAPS = 256
 
 
-def _bits(keys: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(word, mask) of the places of keys in a filter of ``size`` bits, a power of two."""
-    for factor in _FACTORS:
-        at = (keys * np.uint64(factor)) >> np.uint64(64 - (size.bit_length() - 1))
-        yield (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+def _bits(keys: np.ndarray, factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Byte and bit of a place of each key in a filter of ``size`` bits, a power of two."""
+    at = (keys * np.uint64(factor)) >> np.uint64(64 - (size.bit_length() - 1))
+    return at >> np.uint64(3), (at & np.uint64(7)).astype(np.uint8)
 
 
 def _filter(documents: DataFrame, own_keys: int, threshold: int | None) -> np.ndarray | None:
-    """A Bloom filter of all lines' own keys; None if it would be too large."""
-    size = 1 << max(12, (FILTER_BITS * own_keys - 1).bit_length())
+    """A Bloom filter of all lines' own keys as bytes; None if it would be too large."""
+    size = max(8 * BITMAP, 1 << (FILTER_BITS * own_keys - 1).bit_length())
     if size // 8 > FILTER_BYTES:
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, masks = [], []
+            held = np.zeros(size // 8, np.uint8)
             for chunk in chunks(batch.column(0)):
-                for _, keys, own in _Lines.of(chunk).keys(chunk, threshold):
-                    for word, mask in _bits(keys, size) if own else ():
-                        words.append(word)
-                        masks.append(mask)
-            if words:
-                word, mask = np.concatenate(words), np.concatenate(masks)
-                order = np.argsort(word, kind="stable")
-                word, at = np.unique(word[order], return_index=True)
-                mask = np.bitwise_or.reduceat(mask[order], at).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(mask)], ["word", "mask"])
-
-    set_bits = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word long, mask long")
-    found = set_bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()  # a 64th of the filter's bits
-    words = np.zeros(size // 64, np.uint64)
-    words[found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
-    return words
-
-
-def _keyed(documents: DataFrame, words: np.ndarray | None, threshold: int | None) -> DataFrame:
-    """key, low, high, own: each line under the keys of its own segments and, of those that it
-    probes, under what the filter lets pass."""
-    shared = documents.sparkSession.sparkContext.broadcast(words)
+                for _, keys, _ in _Lines.of(chunk).keys(chunk, threshold, probes=False):
+                    for factor in _FACTORS:
+                        byte, bit = _bits(keys, factor, size)
+                        np.bitwise_or.at(held, byte, np.uint8(1) << bit)
+            held = held.reshape(-1, BITMAP)
+            some = np.flatnonzero(held.any(axis=1))
+            for i in range(0, len(some), _BITMAPS):
+                number = some[i : i + _BITMAPS]
+                maps = pa.FixedSizeBinaryArray.from_buffers(
+                    pa.binary(BITMAP), len(number), [None, pa.py_buffer(held[number].tobytes())]
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(number), maps.cast(pa.binary())], ["number", "bits"])
+
+    maps = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "number long, bits binary")
+    found = maps.groupBy("number").agg(F.bitmap_or_agg("bits").alias("bits")).toArrow()  # the filter's size
+    held = np.zeros((size // 8 // BITMAP, BITMAP), np.uint8)
+    for number, bits in zip(found["number"].to_pylist(), found["bits"].to_pylist(), strict=True):
+        held[number] = np.frombuffer(bits, np.uint8)
+    return held.ravel()
+
+
+def _keyed(documents: DataFrame, held: np.ndarray | None, threshold: int | None) -> DataFrame:
+    """key, line (both hashes in one), own: each line under the keys of its own segments and, of
+    those that it probes, under what the filter lets pass."""
+    shared = documents.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
+        held = shared.value
         for batch in batches:
             for chunk in chunks(batch.column(0)):
                 lines = _Lines.of(chunk)
+                line = (lines.low ^ lines.high).astype(np.int64)
+                made = []
                 for which, keys, own in lines.keys(chunk, threshold):
-                    if not own and words is not None:
-                        held = np.ones(len(keys), bool)
-                        for word, mask in _bits(keys, 64 * len(words)):
-                            held &= (words[word] & mask) != 0
-                        which, keys = which[held], keys[held]
+                    for factor in _FACTORS if not own and held is not None else ():
+                        byte, bit = _bits(keys, factor, 8 * len(held))
+                        passed = np.flatnonzero(held[byte] >> bit & np.uint8(1))
+                        which, keys = which[passed], keys[passed]
                     if len(which):
-                        columns = [keys, lines.low[which], lines.high[which]]
-                        yield pa.RecordBatch.from_arrays(
-                            [*[pa.array(c.astype(np.int64)) for c in columns], pa.array(np.full(len(which), own))],
-                            ["key", "low", "high", "own"],
-                        )
+                        made.append((keys.astype(np.int64), line[which], np.full(len(which), own)))
+                if made:
+                    columns = [pa.array(np.concatenate(c)) for c in zip(*made, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "line", "own"])
 
     texts = documents.select(F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "key long, low long, high long, own boolean")
+    return texts.mapInArrow(run, "key long, line long, own boolean")
 
 
-def _lists(documents: DataFrame, items: DataFrame, threshold: int | None, kept: Kept) -> DataFrame:
+def _lists(documents: DataFrame, items: DataFrame, threshold: int | None) -> DataFrame:
     """key, item, first, about (length) of the lists that hold a line by its own segment
     and another line."""
     edits = f"least(size div {EVERY}, {MOST})" if threshold is None else str(threshold)
     counted = items.where(F.col("size") >= SHORTEST).agg(F.sum(F.expr(f"{edits} + 1")).alias("n")).first()["n"]
-    keyed = kept.write(_keyed(documents, _filter(documents, counted or 0, threshold), threshold), "keyed")
-    line = F.col("low").bitwiseXOR(F.col("high"))
-    useful = keyed.groupBy("key").agg(
-        F.bool_or("own").alias("own"), F.min(line).alias("lo"), F.max(line).alias("hi")
-    )
-    useful = useful.where("own AND lo <> hi").select("key")
-    entries = keyed.join(useful, "key").select("key", "low", "high").distinct()
-    about = items.select("low", "high", "item", F.col("place.doc_id").alias("first"), F.col("size").alias("about"))
-    return entries.join(about, ["low", "high"]).drop("low", "high")
+    keyed = _keyed(documents, _filter(documents, counted or 0, threshold), threshold)
+    # Keys are shuffled once and not stored: most of them are of no use.
+    same = Window.partitionBy("key")
+    seen = keyed.select(
+        "key", "line", F.max("own").over(same).alias("own"),
+        F.min("line").over(same).alias("lo"), F.max("line").over(same).alias("hi"),
+    )
+    entries = seen.where("own AND lo <> hi").select("key", "line").distinct()
+    line = F.col("low").bitwiseXOR(F.col("high")).alias("line")
+    about = items.select(line, "item", F.col("place.doc_id").alias("first"), F.col("size").alias("about"))
+    return entries.join(about, "line").drop("line")
 
 
 def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -276,8 +289,7 @@ def repeated_lines(
         F.min(place).alias("place"), F.first("size").alias("size")
     )
     items = kept.write(items.withColumn("item", F.monotonically_increasing_id()), "items")
-    listed = kept.write(_lists(documents, items, threshold, kept), "lists")
-    kept.drop("keyed")
+    listed = kept.write(_lists(documents, items, threshold), "lists")
 
     def check(pairs: DataFrame) -> DataFrame:
         pairs = kept.write(pairs, "pairs")

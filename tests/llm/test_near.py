@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -355,6 +356,29 @@ def test_filter_of_own_keys_loses_no_line(documents, monkeypatch, bits, most):
     assert sorted(map(tuple, near_lines.repeated_lines(df).collect())) == want
 
 
+def test_probes_are_neither_stored_nor_made_for_the_filter(documents, monkeypatch):
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("abcdefg hij") for _ in range(280)) for _ in range(40)]
+    df = documents([(i, "\n".join(lines * 3)) for i in range(2)], partitions=1)
+    keyed = near_lines._keyed(df, None, None).cache()
+    assert keyed.distinct().count() == keyed.count() > 200 * len(lines)
+    assert keyed.where("own").count() == 9 * len(lines)
+    stored, write = [], Kept.write
+
+    def counting(kept, rows, label):
+        written = write(kept, rows, label)
+        stored.append(written.count())
+        return written
+
+    monkeypatch.setattr(Kept, "write", counting)
+    monkeypatch.setattr(near_lines, "FILTER_BYTES", 0)  # so that no probe is dropped before the shuffle
+    assert near_lines.repeated_lines(df).count() == 5 * len(lines)
+    assert max(stored) <= 6 * len(lines)
+    chunk = next(near_lines.chunks(pa.array(["\n".join(lines * 3)])))
+    made = list(near_lines._Lines.of(chunk).keys(chunk, None, probes=False))
+    assert [(len(keys), own) for _, keys, own in made] == [(len(lines), True)] * 9
+
+
 def test_vectors_are_put_into_leaves_a_few_at_a_time():
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(1500, 8))
