@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -144,7 +144,8 @@ class Identifier:
         return self.languages[order[0]], float(score), bool(narrow)
 
 
-@cache
+# A worker outlives many jobs; it keeps the compressors of the last one alone.
+@lru_cache(maxsize=1)
 def _identifier(key: tuple) -> Identifier:
     return Identifier({lang: list(contents) for lang, contents in key})
 
@@ -184,7 +185,7 @@ def identified(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = _identifier(shared.value)
         for batch in batches:
-            rejected = [classify(text)[2] for text in batch.column(spot).to_pylist()]
+            rejected = (classify(text.as_py())[2] for text in batch.column(spot))
             yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from staymark.llm import listed_links, near_documents, near_lines, near_vectors
+from staymark.llm import listed_links, near_documents, near_lines, near_vectors, texts
 from staymark.llm.common import Kept
 from staymark.llm.components import components
 from staymark.llm.edit_distance import within
@@ -379,6 +379,13 @@ def test_probes_are_neither_stored_nor_made_for_the_filter(documents, monkeypatc
     assert [(len(keys), own) for _, keys, own in made] == [(len(lines), True)] * 9
 
 
+def test_powers_kept_are_no_larger_than_a_chunk_needs():
+    """A worker keeps eight of them for as long as it lives."""
+    chunk = next(near_lines.chunks(pa.array(["a b\n" * (texts.CHUNK_BYTES // 4)] * 2)))
+    assert len(chunk.data) > texts.CHUNK_BYTES - 4
+    assert all(power.nbytes <= 4 << 20 for _, power, _ in chunk.hashes()._parts)
+
+
 def test_vectors_are_put_into_leaves_a_few_at_a_time():
     rng = np.random.default_rng(7)
     vectors = rng.normal(size=(1500, 8))
