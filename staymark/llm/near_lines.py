@@ -7,7 +7,8 @@ holds one of them unchanged, shifted by no more than the distance. So each line
 under its own segments, by its length and the segment's number, and probes the lists of
 all lengths within reach with those of its substrings that may match there. A line has few own
 keys but up to 265 probes, so probes are dropped where they are made unless a Bloom filter of
-all own keys holds them. Lines of one list are then compared, see ``listed_links``.
+all own keys holds them. Lines of one list are then compared, see ``listed_links``; lines that
+merely have a passage in common are mostly told apart by counts of their characters first.
 """
 
 from __future__ import annotations
@@ -92,6 +93,24 @@ def line_keys(
                     yield which[fits], found, False
 
 
+# A line's signature counts its characters by code point modulo LETTERS, each count modulo 8 as
+# four bits in which counts that differ by one differ in one bit. So a replacement turns two
+# bits or fewer, and what puts a character in or takes one out turns one and changes the length.
+LETTERS = 48
+_COUNTS = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b1000], np.uint8)
+_SIGNATURE = ("s0", "s1", "s2")
+
+
+def signatures(codes: np.ndarray, starts: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Three words of bits of each line, given its start and length in ``codes``."""
+    ends = np.cumsum(length)
+    line = np.repeat(np.arange(len(starts)) * LETTERS, length)
+    at = np.arange(len(line)) + np.repeat(starts - (ends - length), length)
+    counts = np.bincount(line + codes[at] % np.uint32(LETTERS), minlength=len(starts) * LETTERS)
+    held = _COUNTS[counts & 7].reshape(-1, LETTERS // 2, 2)
+    return np.ascontiguousarray(held[:, :, 0] << np.uint8(4) | held[:, :, 1]).view(np.int64)
+
+
 def _hashed(documents: DataFrame) -> DataFrame:
     return two_columns(documents).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
 
@@ -135,13 +154,15 @@ class _Lines:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """One row per line with a word: document, number, hashes, characters."""
+    """One row per line with a word: document, number, hashes, characters, signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column(2)):
                 lines = _Lines.of(chunk)
                 rows = pa.array(chunk.first + lines.text)
+                compared = np.where(lines.length >= SHORTEST, lines.length, 0)
+                signed = signatures(chunk.code_points(), lines.at, compared)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
@@ -150,12 +171,14 @@ def _lines(documents: DataFrame) -> DataFrame:
                         pa.array(lines.low.astype(np.int64)),
                         pa.array(lines.high.astype(np.int64)),
                         pa.array(lines.length, pa.int32()),
+                        *[pa.array(signed[:, i]) for i in range(3)],
                     ],
-                    names=["doc_id", "text_hash", "number", "low", "high", "size"],
+                    names=["doc_id", "text_hash", "number", "low", "high", "size", *_SIGNATURE],
                 )
 
     return _hashed(documents).mapInArrow(
-        run, "doc_id long, text_hash long, number int, low long, high long, size int"
+        run,
+        "doc_id long, text_hash long, number int, low long, high long, size int, s0 long, s1 long, s2 long",
     )
 
 
@@ -234,7 +257,7 @@ def _keyed(documents: DataFrame, held: np.ndarray | None, threshold: int | None)
 
 
 def _lists(documents: DataFrame, items: DataFrame, threshold: int | None) -> DataFrame:
-    """key, item, first, about (length) of the lists that hold a line by its own segment
+    """key, item, first, about (length, signature) of the lists that hold a line by its own segment
     and another line."""
     edits = f"least(size div {EVERY}, {MOST})" if threshold is None else str(threshold)
     counted = items.where(F.col("size") >= SHORTEST).agg(F.sum(F.expr(f"{edits} + 1")).alias("n")).first()["n"]
@@ -247,10 +270,19 @@ def _lists(documents: DataFrame, items: DataFrame, threshold: int | None) -> Dat
     )
     entries = seen.where("own AND lo <> hi").select("key", "line").distinct()
     line = F.col("low").bitwiseXOR(F.col("high")).alias("line")
-    about = items.select(line, "item", F.col("place.doc_id").alias("first"), F.col("size").alias("about"))
+    about = F.struct("size", *_SIGNATURE).alias("about")
+    about = items.select(line, "item", F.col("place.doc_id").alias("first"), about)
     return entries.join(about, "line").drop("line")
 
 
+def _fits(threshold: int | None) -> str:
+    """What holds for lengths and signatures of any two lines that are near."""
+    most = f"least(least(x.about.size, y.about.size) div {EVERY}, {MOST})" if threshold is None else threshold
+    turned = " + ".join(f"bit_count(x.about.{s} ^ y.about.{s})" for s in _SIGNATURE)
+    longer = "abs(x.about.size - y.about.size)"
+    return f"{longer} <= {most} AND {turned} + {longer} <= 2 * {most}"
+
+
 def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """item and its line, for items with a place (text_hash, number)."""
     met = _hashed(documents).join(broadcast_if_fits(wanted), "text_hash")
@@ -286,7 +318,9 @@ def repeated_lines(
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "number", "text_hash")
     # One item per distinct line: copies end here, aggregated before the shuffle.
     items = lines.groupBy("low", "high").agg(
-        F.min(place).alias("place"), F.first("size").alias("size")
+        F.min(place).alias("place"),
+        F.first("size").alias("size"),
+        *[F.first(x).alias(x) for x in _SIGNATURE],
     )
     items = kept.write(items.withColumn("item", F.monotonically_increasing_id()), "items")
     listed = kept.write(_lists(documents, items, threshold), "lists")
@@ -298,8 +332,7 @@ def repeated_lines(
         found = kept.write(_texts_of(documents, ends.join(places, "item")), "texts")
         return _verified(pairs, found, threshold)
 
-    most = f"least(least(x.about, y.about) div {EVERY}, {MOST})" if threshold is None else threshold
-    found = linked(listed, check, kept, f"abs(x.about - y.about) <= {most}")
+    found = linked(listed, check, kept, _fits(threshold))
     grouped = items.join(found, items["item"] == found["node"], "left").select(
         "low", "high", "place", F.coalesce("component", "item").alias("component")
     )

@@ -397,3 +397,42 @@ def test_vectors_are_put_into_leaves_a_few_at_a_time():
     row, code = forests[8].leaves(near_vectors._unit(frame["embedding"]))
     assert sorted(zip(placed["item"], placed["leaf"], strict=True)) == sorted(zip(row, code, strict=True))
     assert (placed["leaves"].map(len) == placed.groupby("item")["leaf"].transform("size")).all()
+
+
+def test_lines_near_each_other_pass_by_their_signatures():
+    """An edit turns two bits or fewer, or one where it changes the length."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choice("abcdé ñ日𝄞") for _ in range(n)) for n in (32, 33, 64, 90, 300, 700)]
+    codes = [np.array([ord(c) for c in line], np.uint32) for line in lines]
+
+    def bits(line):
+        return near_lines.signatures(np.array([ord(c) for c in line], np.uint32), np.array([0]), np.array([len(line)]))[0]
+
+    starts = np.cumsum([0, *map(len, codes[:-1])])
+    together = near_lines.signatures(np.concatenate(codes), starts, np.array(list(map(len, codes))))
+    assert [bits(line).tolist() for line in lines] == together.tolist()
+    for line in lines * 20:
+        other, edits = list(line), rng.randrange(9)
+        for _ in range(edits):
+            at = rng.randrange(len(other))
+            other[at : at + rng.randrange(2)] = rng.choice(["", "x", "é"])
+        turned = sum(bin(int(w) & (1 << 64) - 1).count("1") for w in bits(line) ^ bits("".join(other)))
+        assert turned + abs(len(line) - len(other)) <= 2 * edits
+    assert near_lines.signatures(codes[0], np.zeros(0, np.int64), np.zeros(0, np.int64)).shape == (0, 3)
+
+
+def test_lines_with_a_common_passage_alone_are_not_compared(documents, monkeypatch):
+    """A hundred lines begin alike: their 4,950 pairs share a list, few of them are near."""
+    rng = random.Random(12)
+    lines = ["the same beginning of all lines " + "".join(rng.choices("abcdefghijkl mno", k=64)) for _ in range(100)]
+    lines += [line[:-1] + "#" for line in lines[:10]]
+    compared, verified = [], near_lines._verified
+
+    def counting(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_lines, "_verified", counting)
+    got = near_lines.repeated_lines(documents(list(enumerate(lines)))).collect()
+    assert {r.doc_id for r in got} == set(range(100, 110))
+    assert sum(compared) < 200
