@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from staymark.llm import language, near_documents, near_lines, packing, secrets
 from staymark.llm.common import carried, table, uncarried
-from staymark.session import try_out
+from staymark.session import small_batches, try_out
 from staymark.sinks.locations import delete_folder, new_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,13 +23,13 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told go on; null and letterless texts do not."""
-    try_out(spark)
+    small_batches(try_out(spark))
     return language.identified(docs, language.learn(docs))
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go, and documents of which nothing else is left."""
-    try_out(spark)
+    small_batches(try_out(spark))
     cleaned = near_lines.remove_repeated_lines(carried(docs))
     some = cleaned.where("n_removed = 0 OR n_removed < n_lines")
     columns = uncarried(docs.columns)
@@ -44,7 +44,7 @@ def remove_near_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows of equal doc_id and text are one document. Rows without doc_id cannot be told
     apart by it and stay.
     """
-    try_out(spark)
+    small_batches(try_out(spark))
     found = near_documents.near_documents(docs).where("kept AND doc_id IS NOT NULL")
     staying = found.select("doc_id").distinct()
     named = docs.join(staying, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
@@ -53,7 +53,7 @@ def remove_near_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark; every document stays."""
-    try_out(spark)
+    small_batches(try_out(spark))
     redacted = secrets.redact(carried(docs))
     columns = uncarried(docs.columns)
     columns["n_chars"] = F.coalesce(F.char_length("text").cast("long"), columns["n_chars"])
@@ -62,7 +62,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as token sequences: a row for each piece with its place."""
-    try_out(spark)
+    small_batches(try_out(spark))
     return packing.pack(docs, TOKENIZER)
 
 

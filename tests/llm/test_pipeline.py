@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -153,3 +154,22 @@ def test_line_stage_takes_near_lines(spark, documents, tmp_path):
     # Chains may join lines that are farther apart; here none are.
     assert {r.doc_id: r.text for r in found} == want
     assert all(r.n_chars == len(r.text) for r in found if r.doc_id % 10 == 1)
+
+
+@pytest.mark.parametrize("stage", [stage for _, stage in corpus_pipeline.STAGES])
+def test_texts_go_to_workers_in_small_batches(spark, documents, stage):
+    """A worker keeps the memory of the largest batch that it met."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = documents([(i, "Some words of a text. " * 200) for i in range(2000)], partitions=1).cache()
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    given = spark.conf.get(name)
+    try:
+        stage(spark, docs, "")
+        largest = docs.mapInArrow(sizes, "size long").agg({"size": "max"}).first()[0]
+    finally:
+        spark.conf.set(name, given)
+    assert largest < 4 << 20
