@@ -38,6 +38,7 @@ def linked(
     fits: str = "true",
     pairs_per_entry: int = PAIRS_PER_ENTRY,
     narrow: Callable[[DataFrame], tuple[DataFrame, str]] | None = None,
+    lead: str | None = None,
 ) -> DataFrame:
     """Components of the items of ``lists``: node, component (items without links lack).
 
@@ -53,6 +54,9 @@ def linked(
     another component, and returns lists and ``fits`` for them, in the same form; each linked
     pair of those items must share one of these lists and fit there. They have hub rounds of
     their own, and the pairs taken at once are theirs.
+
+    ``lead``, if given, is a boolean column of ``lists``: each linked pair must share a list where
+    it is true of one of the two. Pairs taken at once are then of such entries with any others.
     """
     found, open_ = _hub_rounds(lists, check, kept, fits, pairs_per_entry, None)
     if open_ is not None and narrow is not None:
@@ -63,7 +67,10 @@ def linked(
     if open_ is None:
         return found
     x, y = open_.alias("x"), open_.alias("y")
-    met = x.join(y, "key").where(f"x.item < y.item AND x.label <> y.label AND ({fits})")
+    once = "x.item < y.item"
+    if lead is not None and narrow is None:
+        x, once = open_.where(lead).alias("x"), f"(x.item < y.item OR NOT y.{lead})"
+    met = x.join(y, "key").where(f"{once} AND x.label <> y.label AND ({fits})")
     fresh = kept.write(check(_pairs(met)).select("a", "b"), "links")
     return found if fresh.isEmpty() else _joined(found, fresh, kept)
 

@@ -15,10 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from staymark.llm.edit_distance import within
 from staymark.llm.listed_links import linked
 from staymark.llm.texts import SECOND_BASE, Chunk, chunks, mix
 from staymark.operators.sizing import broadcast_if_fits
+from staymark.session import shuffles_deleted
 
 EVERY = 32
 MOST = 8
@@ -52,8 +55,28 @@ def segments(length: np.ndarray, parts: int) -> list[tuple[np.ndarray, np.ndarra
     return made
 
 
+@dataclass(frozen=True)
+class Share:
+    """Keys that are worked on together: those of segments of lines of ``first`` to ``last``
+    characters and, if these are too many, every ``of``-th of them."""
+
+    first: int = SHORTEST
+    last: int = 1 << 31
+    part: int = 0
+    of: int = 1
+    own_keys: int = 0
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        return keys % np.uint64(self.of) == np.uint64(self.part)
+
+
 def line_keys(
-    codes_hash, starts: np.ndarray, length: np.ndarray, threshold: int | None, probes: bool = True
+    codes_hash,
+    starts: np.ndarray,
+    length: np.ndarray,
+    threshold: int | None,
+    probes: bool = True,
+    share: Share = Share(),
 ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(which lines, a key of each, whether it is of the line's own segments).
 
@@ -70,8 +93,9 @@ def line_keys(
     for edits in range(MOST + 1) if threshold is None else [threshold]:
         for shorter in range(edits + 1 if probes else 1):
             # The lines looked for are that much shorter, and theirs are the edits allowed.
-            reach = (length - shorter >= SHORTEST) & (allowed(length - shorter, threshold) == edits)
-            which = np.flatnonzero(reach)
+            sought = length - shorter
+            reach = (sought >= max(SHORTEST, share.first)) & (sought <= share.last)
+            which = np.flatnonzero(reach & (allowed(sought, threshold) == edits))
             if not len(which):
                 continue
             start_of, mine = starts[which], length[which]
@@ -117,7 +141,8 @@ def _hashed(documents: DataFrame) -> DataFrame:
 
 @dataclass
 class _Lines:
-    """The lines with a word of a chunk: text, number, hashes, start and length in characters."""
+    """The lines with a word of a chunk: text, number, hashes, start and length in characters,
+    and where their bytes are."""
 
     text: np.ndarray
     number: np.ndarray
@@ -125,6 +150,8 @@ class _Lines:
     high: np.ndarray
     at: np.ndarray
     length: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
 
     @classmethod
     def of(cls, chunk: Chunk) -> _Lines:
@@ -137,19 +164,26 @@ class _Lines:
         length = chunk.code_point_at(ends) - at
         low = chunk.hashes().of(starts, ends)
         high = chunk.hashes(SECOND_BASE).of(starts, ends) ^ length.astype(np.uint64)
-        return cls(text, number[filled], low, high, at, length)
+        return cls(text, number[filled], low, high, at, length, starts, ends)
+
+    def distinct(self, shortest: int = SHORTEST) -> np.ndarray:
+        """Which lines have that many characters or more, equal lines once."""
+        long = np.flatnonzero(self.length >= shortest)
+        long = long[np.lexsort((self.low[long], self.high[long]))]
+        low, high = self.low[long], self.high[long]
+        return np.sort(long[np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(long)]])
 
     def keys(
-        self, chunk: Chunk, threshold: int | None, probes: bool = True
+        self, chunk: Chunk, threshold: int | None, probes: bool = True, share: Share = Share()
     ) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         """(which lines, a key of each, whether it is of their own segments), equal lines once."""
-        long = np.flatnonzero(self.length >= SHORTEST)
-        long = long[np.lexsort((self.low[long], self.high[long]))]
-        low, high = self.low[long], self.high[long]
-        long = np.sort(long[np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(long)]])
+        long = self.distinct(max(SHORTEST, share.first))
         # What shares a key is compared, so one polynomial does.
         codes = Chunk(0, chunk.code_points(), chunk.offsets).hashes(polynomials=1)
-        for which, keys, own in line_keys(codes, self.at[long], self.length[long], threshold, probes):
+        for which, keys, own in line_keys(codes, self.at[long], self.length[long], threshold, probes, share):
+            if share.of > 1:
+                held = share.holds(keys)
+                which, keys = which[held], keys[held]
             yield long[which], keys, own
 
 
@@ -185,11 +219,14 @@ def _lines(documents: DataFrame) -> DataFrame:
 # Bits of the filter for each of the lines' own keys, and places that a key sets there.
 FILTER_BITS = 8
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-# Bytes of the largest filter; beyond, all probes are shuffled.
-FILTER_BYTES = 32 << 20
+# Bytes of the largest filter, which limits the own keys of a share; too few for any, and all
+# probes are shuffled.
+FILTER_BYTES = 16 << 20
 # Bytes of one of Spark's bitmaps; the filter is a run of them. So many are passed on at once.
 BITMAP = 4096
 _BITMAPS = 256
+# Shares are cut between lengths that differ by about a 256th of an octave or more.
+_STEPS = 256
 
 
 def _bits(keys: np.ndarray, factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,17 +235,77 @@ def _bits(keys: np.ndarray, factor: int, size: int) -> tuple[np.ndarray, np.ndar
     return at >> np.uint64(3), (at & np.uint64(7)).astype(np.uint8)
 
 
-def _filter(documents: DataFrame, own_keys: int, threshold: int | None) -> np.ndarray | None:
-    """A Bloom filter of all lines' own keys as bytes; None if it would be too large."""
-    size = max(8 * BITMAP, 1 << (FILTER_BITS * own_keys - 1).bit_length())
-    if size // 8 > FILTER_BYTES:
+def shares(counted: list[tuple[int, int, int]], most: int) -> list[Share]:
+    """Shares of ``most`` own keys or fewer, given (least length, greatest, own keys) in order."""
+    made: list[Share] = []
+    for first, last, n in counted:
+        before = made[-1] if made else None
+        if before is not None and before.of == 1 and before.own_keys + n <= most:
+            made[-1] = Share(before.first, last, own_keys=before.own_keys + n)
+        else:
+            of = -(-n // most)
+            made += [Share(first, last, part, of, -(-n // of)) for part in range(of)]
+    return made
+
+
+def _shares(items: DataFrame, threshold: int | None) -> list[Share]:
+    edits = f"least(size div {EVERY}, {MOST})" if threshold is None else str(threshold)
+    counted = (
+        items.where(F.col("size") >= SHORTEST)
+        .groupBy(F.floor(F.log2("size") * _STEPS).alias("step"))
+        .agg(F.min("size").alias("first"), F.max("size").alias("last"), F.sum(F.expr(f"{edits} + 1")).alias("n"))
+        .orderBy("first")
+        .toArrow()  # a few thousand rows
+    )
+    counted = list(zip(*(counted[c].to_pylist() for c in ("first", "last", "n")), strict=True))
+    if FILTER_BYTES < BITMAP:
+        return [Share(own_keys=sum(n for *_, n in counted))]
+    return shares(counted, max(1, 8 * FILTER_BYTES // FILTER_BITS))
+
+
+def _by_length(documents: DataFrame, cuts: np.ndarray) -> DataFrame:
+    """text, piece: the lines of SHORTEST characters or more, those from one of the ``cuts``
+    (lengths) to the next together; equal lines of a batch once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(0)):
+                lines = _Lines.of(chunk)
+                long = lines.distinct()
+                if not len(long):
+                    continue
+                piece = np.searchsorted(cuts, lines.length[long], "right")
+                order = np.argsort(piece, kind="stable")
+                long, piece = long[order], piece[order]
+                # Each line with a line break behind it.
+                size = lines.ends[long] - lines.starts[long] + 1
+                ends = np.cumsum(size)
+                at = np.arange(ends[-1]) + np.repeat(lines.starts[long] - (ends - size), size)
+                data = np.append(chunk.data, np.uint8(0))[at]
+                data[ends - 1] = 0x0A
+                last = np.flatnonzero(np.append(piece[1:] != piece[:-1], True))
+                offsets = np.append(0, ends[last]).astype(np.int64)
+                texts = pa.LargeStringArray.from_buffers(
+                    len(last), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())
+                )
+                columns = [texts.cast(pa.string()), pa.array(piece[last], pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["text", "piece"])
+
+    texts = documents.select(F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(run, "text string, piece int")
+
+
+def _filter(documents: DataFrame, threshold: int | None, share: Share) -> np.ndarray | None:
+    """A Bloom filter of a share's own keys as bytes; None if none may be so small."""
+    size = max(8 * BITMAP, 1 << max(0, FILTER_BITS * share.own_keys - 1).bit_length())
+    if FILTER_BYTES < BITMAP:
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = np.zeros(size // 8, np.uint8)
             for chunk in chunks(batch.column(0)):
-                for _, keys, _ in _Lines.of(chunk).keys(chunk, threshold, probes=False):
+                for _, keys, _ in _Lines.of(chunk).keys(chunk, threshold, False, share):
                     for factor in _FACTORS:
                         byte, bit = _bits(keys, factor, size)
                         np.bitwise_or.at(held, byte, np.uint8(1) << bit)
@@ -222,26 +319,28 @@ def _filter(documents: DataFrame, own_keys: int, threshold: int | None) -> np.nd
                 yield pa.RecordBatch.from_arrays([pa.array(number), maps.cast(pa.binary())], ["number", "bits"])
 
     maps = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "number long, bits binary")
-    found = maps.groupBy("number").agg(F.bitmap_or_agg("bits").alias("bits")).toArrow()  # the filter's size
+    with shuffles_deleted(documents.sparkSession):
+        found = maps.groupBy("number").agg(F.bitmap_or_agg("bits").alias("bits")).toArrow()  # the filter's size
     held = np.zeros((size // 8 // BITMAP, BITMAP), np.uint8)
     for number, bits in zip(found["number"].to_pylist(), found["bits"].to_pylist(), strict=True):
         held[number] = np.frombuffer(bits, np.uint8)
     return held.ravel()
 
 
-def _keyed(documents: DataFrame, held: np.ndarray | None, threshold: int | None) -> DataFrame:
+def _keyed(
+    documents: DataFrame, shared: Broadcast | None, threshold: int | None, share: Share = Share()
+) -> DataFrame:
     """key, line (both hashes in one), own: each line under the keys of its own segments and, of
-    those that it probes, under what the filter lets pass."""
-    shared = documents.sparkSession.sparkContext.broadcast(held)
+    those that it probes, under what the filter (if any) lets pass; of a share's keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
+        held = None if shared is None else shared.value
         for batch in batches:
             for chunk in chunks(batch.column(0)):
                 lines = _Lines.of(chunk)
                 line = (lines.low ^ lines.high).astype(np.int64)
                 made = []
-                for which, keys, own in lines.keys(chunk, threshold):
+                for which, keys, own in lines.keys(chunk, threshold, share=share):
                     for factor in _FACTORS if not own and held is not None else ():
                         byte, bit = _bits(keys, factor, 8 * len(held))
                         passed = np.flatnonzero(held[byte] >> bit & np.uint8(1))
@@ -256,23 +355,44 @@ def _keyed(documents: DataFrame, held: np.ndarray | None, threshold: int | None)
     return texts.mapInArrow(run, "key long, line long, own boolean")
 
 
-def _lists(documents: DataFrame, items: DataFrame, threshold: int | None) -> DataFrame:
-    """key, item, first, about (length, signature) of the lists that hold a line by its own segment
-    and another line."""
-    edits = f"least(size div {EVERY}, {MOST})" if threshold is None else str(threshold)
-    counted = items.where(F.col("size") >= SHORTEST).agg(F.sum(F.expr(f"{edits} + 1")).alias("n")).first()["n"]
-    keyed = _keyed(documents, _filter(documents, counted or 0, threshold), threshold)
+def _entries(documents: DataFrame, threshold: int | None, share: Share, kept: Kept, label: str) -> DataFrame:
+    """key, line, own of a share's lists that hold a line by its own segment and another line."""
+    held = _filter(documents, threshold, share)
+    shared = None if held is None else documents.sparkSession.sparkContext.broadcast(held)
     # Keys are shuffled once and not stored: most of them are of no use.
     same = Window.partitionBy("key")
-    seen = keyed.select(
-        "key", "line", F.max("own").over(same).alias("own"),
+    seen = _keyed(documents, shared, threshold, share).select(
+        "key", "line", "own", F.max("own").over(same).alias("some"),
         F.min("line").over(same).alias("lo"), F.max("line").over(same).alias("hi"),
     )
-    entries = seen.where("own AND lo <> hi").select("key", "line").distinct()
+    listed = seen.where("some AND lo <> hi").groupBy("key", "line").agg(F.max("own").alias("own"))
+    entries = kept.write(listed, label)
+    if shared is not None:
+        shared.destroy()
+    return entries
+
+
+def _lists(documents: DataFrame, items: DataFrame, threshold: int | None, kept: Kept) -> DataFrame:
+    """key, item, first, own, about (length, signature) of the lists that hold a line by its own
+    segment and another line."""
+    made = _shares(items, threshold) or [Share()]
+    if len(made) == 1:
+        entries = [_entries(documents, threshold, made[0], kept, "entries")]
+    else:
+        # Who probes a share's lines may be longer by the edits allowed.
+        reach = MOST if threshold is None else threshold
+        cuts = np.unique([end for s in made for end in (s.first, s.last + reach + 1)])
+        texts = kept.write_folders(_by_length(documents, cuts), "lengths", "piece")
+        entries = []
+        for number, share in enumerate(made):
+            first, last = np.searchsorted(cuts, [share.first, share.last + reach], "right").tolist()
+            of_share = texts.where(F.col("piece").between(first, last))
+            entries.append(_entries(of_share, threshold, share, kept, f"entries-{number}"))
+        kept.drop("lengths")
     line = F.col("low").bitwiseXOR(F.col("high")).alias("line")
     about = F.struct("size", *_SIGNATURE).alias("about")
     about = items.select(line, "item", F.col("place.doc_id").alias("first"), about)
-    return entries.join(about, "line").drop("line")
+    return reduce(DataFrame.unionByName, entries).join(about, "line").drop("line")
 
 
 def _fits(threshold: int | None) -> str:
@@ -323,7 +443,8 @@ def repeated_lines(
         *[F.first(x).alias(x) for x in _SIGNATURE],
     )
     items = kept.write(items.withColumn("item", F.monotonically_increasing_id()), "items")
-    listed = kept.write(_lists(documents, items, threshold), "lists")
+    listed = kept.write(_lists(documents, items, threshold, kept), "lists")
+    kept.drop_others("lines", "items", "lists")
 
     def check(pairs: DataFrame) -> DataFrame:
         pairs = kept.write(pairs, "pairs")
@@ -332,7 +453,9 @@ def repeated_lines(
         found = kept.write(_texts_of(documents, ends.join(places, "item")), "texts")
         return _verified(pairs, found, threshold)
 
-    found = linked(listed, check, kept, _fits(threshold))
+    # Of lines that are near, one holds an own segment of the other in its list.
+    found = linked(listed, check, kept, _fits(threshold), lead="own")
+    kept.drop_others("lines", "items", "components")
     grouped = items.join(found, items["item"] == found["node"], "left").select(
         "low", "high", "place", F.coalesce("component", "item").alias("component")
     )
@@ -366,6 +489,8 @@ def remove_repeated_lines(documents: DataFrame, threshold: int | None = None) ->
     drops = removed.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_set("number")).alias("drops"), F.count_if("near").alias("n_near")
     )
+    drops = kept.write(drops, "drops")
+    kept.drop_others("drops")
     own = ("text_hash", "drops", "n_near", "n_lines", "n_removed")
     carried = documents.drop(*own)
     key = carried["doc_id"].cast("long").eqNullSafe(drops["doc_id"])

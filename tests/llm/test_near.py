@@ -436,3 +436,85 @@ def test_lines_with_a_common_passage_alone_are_not_compared(documents, monkeypat
     got = near_lines.repeated_lines(documents(list(enumerate(lines)))).collect()
     assert {r.doc_id for r in got} == set(range(100, 110))
     assert sum(compared) < 200
+
+
+@pytest.mark.parametrize("sizes", [range(32, 300), range(280, 281)])
+def test_keys_beyond_one_filter_are_made_in_shares(documents, monkeypatch, sizes):
+    """Also where all lines are of one length; each share has a filter, so few probes pass."""
+    rng = random.Random(len(sizes))
+    lines = []
+    for _ in range(60):
+        line = "".join(rng.choice("abcdefg hij") for _ in range(rng.choice(sizes)))
+        at = rng.randrange(len(line) - 2)
+        lines += [line, line[:at] + "X" + line[at + rng.randrange(3) :]]
+    df = documents(list(enumerate(lines + lines[:5])))
+    want = sorted(map(tuple, near_lines.repeated_lines(df).collect()))
+    assert len(want) >= 40
+    made, keyed = [], near_lines._keyed
+
+    def counting(source, held, *rest):
+        rows = keyed(source, held, *rest)
+        made.append((held is not None, rows.where("own").distinct().count(), rows.where("NOT own").count()))
+        return rows
+
+    monkeypatch.setattr(near_lines, "_keyed", counting)
+    monkeypatch.setattr(near_lines, "FILTER_BITS", 256)
+    monkeypatch.setattr(near_lines, "FILTER_BYTES", near_lines.BITMAP)
+    assert sorted(map(tuple, near_lines.repeated_lines(df).collect())) == want
+    assert all(filtered for filtered, *_ in made) and len(made) > 3
+    long = [line for line in lines if len(line) >= near_lines.SHORTEST]
+    own = sum(min(len(line) // near_lines.EVERY, near_lines.MOST) + 1 for line in long)
+    assert sum(n for _, n, _ in made) == own
+    assert max(n for _, n, _ in made) < own / 2
+    assert sum(n for *_, n in made) < 3 * own
+
+
+def test_shares_hold_all_own_keys_and_no_more_than_asked_for():
+    counted = [(32, 40, 10), (41, 41, 15), (42, 60, 3), (61, 61, 100), (62, 70, 25), (71, 99, 1)]
+    made = near_lines.shares(counted, 25)
+    assert [(s.first, s.last) for s in made] == [(32, 41), (42, 60), *[(61, 61)] * 4, (62, 70), (71, 99)]
+    assert [(s.part, s.of) for s in made[2:6]] == [(i, 4) for i in range(4)]
+    assert all(s.own_keys <= 25 for s in made) and sum(s.own_keys for s in made) == 154
+    keys = np.arange(1000, dtype=np.uint64)
+    assert sorted(np.concatenate([keys[s.holds(keys)] for s in made[2:6]]).tolist()) == keys.tolist()
+
+
+def test_entries_without_own_segment_are_not_paired_with_each_other(spark, monkeypatch):
+    """What is left after the hub rounds; nor is a link between others lost."""
+    monkeypatch.setattr(listed_links, "ROUNDS", 1)
+    rng = random.Random(13)
+    rows = [(key, item, item, 0, rng.random() < 0.2) for key in range(30) for item in rng.sample(range(60), 8)]
+    lists = spark.createDataFrame(rows, "key long, item long, first long, about int, own boolean")
+    led = {
+        tuple(sorted((a[1], b[1]))) for a in rows for b in rows if a[0] == b[0] and a[1] != b[1] and (a[4] or b[4])
+    }
+    links = rng.sample(sorted(led), 40)
+    table = spark.createDataFrame(links, "a long, b long")
+    checked = []
+
+    def check(pairs):
+        checked.append({tuple(r) for r in pairs.collect()})
+        return pairs.join(table, ["a", "b"])
+
+    found = listed_links.linked(lists, check, Kept(spark), pairs_per_entry=1000, lead="own")
+    groups = Groups(range(60))
+    for a, b in links:
+        groups.join(a, b)
+    got = {r.node: r.component for r in found.collect()}
+    assert all(got.get(i, i) == min(j for j in range(60) if groups.find(j) == groups.find(i)) for i in range(60))
+    assert checked[-1] <= led and len(checked) == 2
+
+
+def test_only_what_is_to_be_removed_is_kept_of_lines(documents, monkeypatch):
+    made = []
+
+    class Remembered(Kept):
+        def __init__(self, spark):
+            super().__init__(spark)
+            made.append(self)
+
+    monkeypatch.setattr(near_lines, "Kept", Remembered)
+    line = "a line of words that is long enough to be compared with others"
+    cleaned = near_lines.remove_repeated_lines(documents([(1, line), (2, line + "s"), (3, "b\nc")]))
+    assert [set(kept.paths) for kept in made] == [{"drops"}]
+    assert {r.doc_id: (r.n_removed, r.n_near) for r in cleaned.collect()} == {1: (0, 0), 2: (1, 1), 3: (0, 0)}
