@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from staymark.llm import language, near_documents, near_lines, packing, secrets
 from staymark.llm.common import carried, table, uncarried
-from staymark.session import small_batches, try_out
+from staymark.session import shuffles_deleted, small_batches, try_out
 from staymark.sinks.locations import delete_folder, new_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,13 +78,15 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the documents of ``sf_dir``.
 
-    A stage's table is deleted once the next one is written.
+    A stage's table is deleted once the next one is written, its shuffles once it is written.
     """
     try_out(spark)
     docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        made = stage(spark, docs, sf_dir)
+        with shuffles_deleted(spark):
+            made.write.parquet(path)
         if before is not None:
             delete_folder(spark, before)
         docs, before = spark.read.parquet(path), path

@@ -253,6 +253,7 @@ def near_documents(documents: DataFrame) -> DataFrame:
         return full_lists(texts_of(undecided)), FITS_FULLY
 
     found = linked(listed, check, kept, FITS, PAIRS_PER_ENTRY, narrow)
+    kept.drop_others("sketches", "items", "components")
     grouped = items.join(found, items["item"] == found["node"], "left").select(
         "digest", "first_id", F.coalesce("component", "item").alias("component")
     )
